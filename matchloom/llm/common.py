@@ -7,6 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchloom.functions.durable import durable, shared_dir  # noqa: F401
 from matchloom.functions.ship import ship
@@ -23,12 +24,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` after the package has been shipped."""
     ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
+def with_fields(ddl: str, fields: list[T.StructField]) -> T.StructType:
+    """The fields of ``ddl`` and then ``fields``."""
+    return T.StructType([*T.StructType.fromDDL(ddl).fields, *fields])
+
+
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns that text operators read, under fixed names; text as UTF-8 bytes, null stays null."""
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
