@@ -35,9 +35,9 @@ def with_fields(ddl: str, fields: list[T.StructField]) -> T.StructType:
     return T.StructType([*T.StructType.fromDDL(ddl).fields, *fields])
 
 
-def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The two columns that text operators read, under fixed names; text as UTF-8 bytes, null stays null."""
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """What text operators read, under fixed names: id, text (as UTF-8 bytes, null stays null), and columns to pass on."""
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"), *keep)
 
 
 def crc32_of_id(col: Column) -> Column:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import ALNUM, durable, map_batches, slices, with_fields
+from matchloom.llm.common import ALNUM, durable, id_text, map_batches, slices, with_fields
 
 WINDOW, NEAR_TERMS, SLOP = 10, 4, 15
 BLOCK_BYTES, STEP_BYTES = 8 << 20, 16 << 20
@@ -178,7 +178,7 @@ def matches(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int
 
         return run
 
-    out = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"), *keep)
+    out = id_text(df, id_col, text_col, keep)
     kept = out.schema.fields[2:]
     for b in range(blocks):
         last = b == blocks - 1

@@ -122,7 +122,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Machin
     return Machine(float(b[0]), w.astype(np.float64), v.astype(np.float64), mean.astype(np.float64), scale.astype(np.float64))
 
 
-def _columns(df: DataFrame, *more) -> DataFrame:
+def _columns(df: DataFrame, *more: str) -> DataFrame:
     has = "n_chars" in df.columns
     return df.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").cast("binary").alias("text"), (F.col("n_chars") if has else F.lit(None)).cast("long").alias("n_chars"), *more)
 

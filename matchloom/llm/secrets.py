@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,7 +142,7 @@ def secret_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 done += len(ids)
                 yield pa.record_batch([ids, pa.array(found, kind), *rest], ["id", "spans", *keep])
 
-    own = id_text(df, id_col, text_col) if not keep else df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"), *keep)
+    own = id_text(df, id_col, text_col, keep)
     return map_batches(own, run, with_fields(f"id long, spans {SPANS}", own.schema.fields[2:]))
 
 
@@ -162,3 +163,33 @@ def redact(text: str, spans: list[tuple[int, int]], mark: str = "[SECRET]") -> s
             out += [text[at:a], mark]
         at = max(at, b)
     return "".join([*out, text[at:]])
+
+
+def redacted(df: DataFrame, text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """``df`` with the spans of every text replaced by a mark, and the size of changed texts put right.
+
+    All rows and columns stay; null texts stay null.
+    """
+    names = df.columns
+    where = names.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(where).cast(pa.large_binary())
+            changed: dict[int, str] = {}
+            for i in range(len(texts)):
+                raw = texts[i].as_py()
+                if raw and worth_a_scan(raw):
+                    text = raw.decode("utf-8", "replace")
+                    if found := scan(text):
+                        changed[i] = redact(text, [(a, b) for a, _, b, _ in found])
+            columns = batch.columns
+            if changed:
+                mask = pa.array([i in changed for i in range(len(texts))])
+                columns[where] = pc.replace_with_mask(columns[where], mask, pa.array(list(changed.values()), columns[where].type))
+                if size_col in names:
+                    k = names.index(size_col)
+                    columns[k] = pc.replace_with_mask(columns[k], mask, pa.array([len(t) for t in changed.values()], columns[k].type))
+            yield pa.record_batch(columns, names)
+
+    return map_batches(df, run, df.schema)

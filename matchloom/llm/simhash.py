@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import LOWER, durable, id_text, map_batches, slices
+from matchloom.llm.common import LOWER, durable, id_text, map_batches, slices, with_fields
 
 WORDS, RADIUS, BANDS, PIVOTS, BUCKET, FEW_BITS = 3, 3, 5, 24, 2048, 11
 #: Low bit of each byte: eight bit counters in one 64-bit number.
@@ -71,17 +71,21 @@ def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for ids, texts in slices(batch):
-            hashed = [np.array(shingle_hashes(t), np.uint64) if t else np.zeros(0, np.uint64) for t in texts]
-            bits = majority(np.concatenate(hashed), np.array([len(x) for x in hashed]))
-            yield pa.record_batch([ids, pa.array(bits.view(np.int64))], ["id", "fp"])
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, fp[, the columns of ``keep``]): the SimHash of every text as a signed 64-bit number. Null and wordless texts have 0."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for ids, texts in slices(batch):
+                hashed = [np.array(shingle_hashes(t), np.uint64) if t else np.zeros(0, np.uint64) for t in texts]
+                bits = majority(np.concatenate(hashed), np.array([len(x) for x in hashed]))
+                rest = [c.slice(done, len(ids)) for c in batch.columns[2:]]
+                done += len(ids)
+                yield pa.record_batch([ids, pa.array(bits.view(np.int64)), *rest], ["id", "fp", *keep])
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the SimHash of every text as a signed 64-bit number. Null and wordless texts have 0."""
-    return map_batches(id_text(df, id_col, text_col), _fingerprint, "id long, fp long")
+    own = id_text(df, id_col, text_col, keep)
+    return map_batches(own, run, with_fields("id long, fp long", own.schema.fields[2:]))
 
 
 def sub_masks(mask: int) -> list[int]:
@@ -216,19 +220,34 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp, component_id) for every row of ``df``.
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, fp, component_id, root[, the columns of ``keep``]) for every row of ``df``.
 
     component_id is the smallest id among the rows whose fingerprints can be reached over links of at
-    most 3 bits. Null or empty texts have fingerprint 0 and are linked like any other; rows repeated
-    under one id stay rows; null ids are kept and never serve as component_id while their group has
-    another id; an empty table gives an empty result. Other columns are ignored.
+    most 3 bits; root, the smallest such fingerprint, names the group. Null or empty texts have
+    fingerprint 0 and are linked like any other; rows repeated under one id stay rows; null ids are kept
+    and never serve as component_id while their group has another id; an empty table gives an empty
+    result. Other columns are ignored unless named in ``keep``.
     """
-    docs = durable(fingerprints(df, id_col, text_col))
+    docs = durable(fingerprints(df, id_col, text_col, keep))
     fps = docs.groupBy("fp").agg(F.min("id").alias("low"))
     comps = components(links(fps.select("fp"))).withColumnRenamed("node", "fp")
     linked = fps.join(comps, "fp")
     lows = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    of_linked = linked.select("fp", "root").join(lows, "root").select("fp", "component_id")
-    by_fp = fps.join(of_linked, "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
-    return docs.join(by_fp, "fp").select("id", "fp", "component_id")
+    of_linked = linked.select("fp", "root").join(lows, "root").select("fp", "root", "component_id")
+    by_fp = fps.join(of_linked, "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    return docs.join(by_fp, "fp").select("id", "fp", "component_id", "root", *keep)
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns, without all but one of each group: the one of the smallest id stays.
+
+    Of rows that share id and text one stays; a group whose rows all lack an id keeps one of them.
+    """
+    key, row_id = "_text_key", F.col(id_col).cast("long")
+    keyed = df.withColumn(key, F.xxhash64(text_col))
+    found = near_duplicates(keyed, id_col, text_col, (key,))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", key)).alias("s"))
+    stays = first.select(F.col("s.id").alias("_stays"), F.col(f"s.{key}").alias("_stays_key"))
+    kept = keyed.join(stays, row_id.eqNullSafe(F.col("_stays")) & (F.col(key) == F.col("_stays_key")), "left_semi")
+    return kept.dropDuplicates([id_col, key]).drop(key)
