@@ -146,7 +146,7 @@ def number_sets(pairs: DataFrame, r1: DataFrame, r23: DataFrame) -> DataFrame:
             "x_num_jacc": F.when(union == 0, -1.0).otherwise(F.size(F.array_intersect("m1", "m2")) / F.greatest(union, F.lit(1))),
             "x_num_extra2": F.size(F.array_except("m2", "m1")).cast("double"),
             "x_num_miss2": F.size(F.array_except("m1", "m2")).cast("double"),
-            "x_hn_absdiff": F.coalesce(F.least(F.abs(head("m1") - head("m2")), F.lit(1000)), F.lit(-1)).cast("double"),
+            "x_hn_absdiff": F.coalesce(F.when(F.abs(head("m1") - head("m2")) > 1000, 1000).otherwise(F.abs(head("m1") - head("m2"))), F.lit(-1)).cast("double"),
         }
     )
 

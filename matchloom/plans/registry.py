@@ -420,7 +420,7 @@ _NUMS = lambda e: f"list_transform(regexp_extract_all({e}, '[0-9]+'), lambda x:
     with_fixture(
         """SELECT s1_gid, s23_gid, least(levenshtein(array_to_string(m1, ''), array_to_string(m2, '')), 9)::DOUBLE AS x_num_lev, CASE WHEN len(list_distinct(list_concat(m1, m2))) = 0 THEN -1::DOUBLE ELSE round(len(list_intersect(m1, m2)) / len(list_distinct(list_concat(m1, m2))), 6) END AS x_num_jacc,
 len(list_distinct(list_filter(m2, lambda x: NOT list_contains(m1, x))))::DOUBLE AS x_num_extra2, len(list_distinct(list_filter(m1, lambda x: NOT list_contains(m2, x))))::DOUBLE AS x_num_miss2,
-coalesce(least(abs(substr(m1[1], 1, 7)::BIGINT - substr(m2[1], 1, 7)::BIGINT), 1000), -1)::DOUBLE AS x_hn_absdiff FROM p""",
+CASE WHEN len(m1) = 0 OR len(m2) = 0 THEN -1::DOUBLE ELSE least(abs(substr(m1[1], 1, 7)::BIGINT - substr(m2[1], 1, 7)::BIGINT), 1000)::DOUBLE END AS x_hn_absdiff FROM p""",
         _LISTS,
         f"p AS (SELECT s1_gid, s23_gid, {_NUMS('a.hn || chr(32) || a.zip || chr(32) || a.addr')} AS m1, {_NUMS('b.hn || chr(32) || b.zip || chr(32) || b.addr')} AS m2 {_PAIR_FROM})",
     )
