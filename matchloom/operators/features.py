@@ -39,14 +39,14 @@ def sides(pairs: DataFrame, s1: DataFrame, s23: DataFrame, columns: list[str]) -
 def simple_features(pairs: DataFrame, s1: DataFrame, s23: DataFrame) -> DataFrame:
     """Set and equality features of cleaned rows. Two empty names share the token "" and so have a name Jaccard of 1."""
     d = sides(pairs, s1, s23, ["name_tokens", "addr_components", "addr_house_number", "addr_zip", "name_legal_form"])
-    a1, a2 = (address_words(F.coalesce(F.col(f"addr_components_{i}"), F.array().cast("array<string>"))) for i in (1, 2))
+    d = d.withColumns({f"_address_{i}": address_words(F.coalesce(F.col(f"addr_components_{i}"), F.array().cast("array<string>"))) for i in (1, 2)})
     both = lambda c: (F.col(f"{c}_1") != "") & (F.col(f"{c}_2") != "")
     same = lambda c: _num(both(c) & (F.col(f"{c}_1") == F.col(f"{c}_2")))
     d = d.withColumns(
         {
             "name_jaccard": jaccard(F.col("name_tokens_1"), F.col("name_tokens_2")),
             "name_overlap_n": F.size(F.array_intersect("name_tokens_1", "name_tokens_2")),
-            "addr_token_jaccard": jaccard(a1, a2),
+            "addr_token_jaccard": jaccard(F.col("_address_1"), F.col("_address_2")),
             "house_number_match": same("addr_house_number"),
             "zip_match": same("addr_zip"),
             "legal_form_match": same("name_legal_form"),
@@ -220,4 +220,5 @@ def soundex_features(df: DataFrame, a: str = "core_1", b: str = "core_2") -> Dat
     """``df`` with snd_eq (whole names sound alike) and snd_jacc (share of words that do)."""
     whole = lambda x: soundex_code(F.replace(F.col(x), F.lit(" "), F.lit("")))
     codes = lambda x: F.array_distinct(F.transform(full(F.split(x, " ")), soundex_code))
-    return df.withColumns({"snd_eq": _num((whole(a) != "") & (whole(a) == whole(b))), "snd_jacc": jaccard(codes(a), codes(b))})
+    df = df.withColumns({"_w1": whole(a), "_w2": whole(b), "_s1": codes(a), "_s2": codes(b)})
+    return df.withColumns({"snd_eq": _num((F.col("_w1") != "") & (F.col("_w1") == F.col("_w2"))), "snd_jacc": jaccard(F.col("_s1"), F.col("_s2"))}).drop("_w1", "_w2", "_s1", "_s2")

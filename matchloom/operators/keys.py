@@ -33,9 +33,9 @@ def nospace(tokens: Column) -> Column:
     return F.when(F.length(s) >= LEAST_NOSPACE, s).otherwise(F.lit(""))
 
 
-def house_street(house: Column, comps: Column) -> Column:
+def house_street(house: Column, address: Column) -> Column:
     """The house number with every other word of the address; repeated words stay repeated."""
-    tokens = F.filter(address_words(comps), lambda x: x != house)
+    tokens = F.filter(address, lambda x: x != house)
     return F.when(F.coalesce(house, F.lit("")) != "", F.transform(tokens, lambda x: F.concat_ws("|", house, x))).otherwise(F.array().cast("array<string>"))
 
 
@@ -47,29 +47,41 @@ def _generic(a: Column, extra: Column | None = None) -> Column:
     return F.array_distinct(F.filter(F.split(a, " "), lambda x: ((F.length(x) >= LEAST_TOKEN) | (x.rlike(r"^\d{2,}$") if extra is not None else F.lit(False))) & ~is_in(x, GENERIC_ADDRESS)))
 
 
+def _words(kinds: tuple[str, ...]) -> dict[str, Column]:
+    """Word lists that keys of several elements are made of; columns of their own, so that each is computed once a row."""
+    c, out = F.col, {}
+    if {"tok", "pair"} & set(kinds):
+        out["_tokens"] = F.array_distinct(full(c("name_tokens")))
+    if "house" in kinds:
+        out["_address"] = address_words(c("addr_components"))
+    if "na" in kinds:
+        out["_name"] = F.slice(F.array_distinct(F.filter(F.split("core", " "), lambda x: F.length(x) >= LEAST_TOKEN)), 1, MOST_NAME)
+        out["_words"] = F.slice(_generic(c("addr")), 1, MOST_ADDRESS)
+    if "aa" in kinds:
+        out["_numbered"] = F.slice(_generic(c("addr"), F.lit(True)), 1, MOST_ADDRESS_PAIRS)
+    return out
+
+
 def _values(kind: str) -> Column:
-    """Keys of one kind as an array of strings, from the columns of cleaned rows or of records."""
+    """Keys of one kind as an array of strings, from the columns of cleaned rows or of records and from ``_words``."""
     c = F.col
-    region = c("region") if kind in ("rns", "rsk") else None
     if kind == "tok":
-        return F.array_distinct(full(c("name_tokens")))
+        return c("_tokens")
     if kind == "pair":
-        return pairs(F.slice(F.array_distinct(full(c("name_tokens"))), 1, MOST_PAIR_TOKENS))
+        return pairs(F.slice("_tokens", 1, MOST_PAIR_TOKENS))
     if kind == "nospace":
         return full(F.array(nospace(c("name_tokens"))))
     if kind == "house":
-        return house_street(c("addr_house_number"), c("addr_components"))
+        return house_street(c("addr_house_number"), c("_address"))
     if kind == "zip":
         return _one(c("addr_zip"), c("addr_zip") != "")
     if kind == "na":
-        name = F.slice(F.array_distinct(F.filter(F.split("core", " "), lambda x: F.length(x) >= LEAST_TOKEN)), 1, MOST_NAME)
-        return products(name, F.slice(_generic(c("addr")), 1, MOST_ADDRESS))
-    if kind == "rns":
-        return _one(F.concat_ws("|", region, c("ns")), (region != "") & (F.length("ns") >= 4))
-    if kind == "rsk":
-        return _one(F.concat_ws("|", region, c("skel")), (region != "") & (F.length("skel") >= 3))
+        return products(c("_name"), c("_words"))
+    if kind in ("rns", "rsk"):
+        name, least = ("ns", 4) if kind == "rns" else ("skel", 3)
+        return _one(F.concat_ws("|", "region", name), (c("region") != "") & (F.length(name) >= least))
     if kind == "aa":
-        return pairs(F.slice(_generic(c("addr"), F.lit(True)), 1, MOST_ADDRESS_PAIRS))
+        return pairs(c("_numbered"))
     if kind == "cns":
         return _one(c("ns"), F.length("ns") >= 4)
     raise ValueError(f"unknown kind of key: {kind}")
@@ -87,4 +99,4 @@ def keys(df: DataFrame, kinds: tuple[str, ...], id_col: str = "gid", hashed: boo
         return F.transform(F.array_distinct(values) if distinct else values, lambda x: F.struct(F.lit(kind).alias("kind"), (F.xxhash64(F.concat(F.lit(kind + ":"), x)) if hashed else x).alias("key")))
 
     all_keys = reduce(lambda a, b: F.concat(a, b), map(tagged, kinds))
-    return df.select(id_col, "country", F.explode(all_keys).alias("k")).select(id_col, "country", "k.kind", "k.key")
+    return df.withColumns(_words(kinds)).select(id_col, "country", F.explode(all_keys).alias("k")).select(id_col, "country", "k.kind", "k.key")

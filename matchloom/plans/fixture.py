@@ -5,9 +5,12 @@ first five words are the name, the next twelve the address in three parts. Two r
 a true link. House number and zip follow from lengths, so that copies agree on them.
 """
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchloom.functions.durable import durable
 from matchloom.operators.records import shares, skeleton
 
 WORD = r"([^ \t\n\r\f\x0B]+)"
@@ -20,13 +23,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """gid, src, country, business_name, business_address, text_key (digest of the whole text)."""
-    d = table(spark, sf_dir, "documents").withColumn("t", F.regexp_extract_all("text", F.lit(WORD)))
+    space = r"[ \t\n\r\f\x0B]+"
+    d = table(spark, sf_dir, "documents").withColumn("t", F.filter(F.slice(F.split(F.regexp_replace("text", "^" + space, ""), space, 18), 1, 17), lambda w: w != ""))  # words beyond the record stay unsplit
     part = lambda a: F.array_join(F.slice("t", a, 4), " ")
     address = F.array_join(F.filter(F.array(part(6), part(10), part(14)), lambda p: p != ""), ", ")
     src = F.when(F.col("doc_id") % 3 == 0, 1).otherwise(2 + F.col("doc_id") % 2).cast("int")
     return d.select(F.col("doc_id").alias("gid"), src.alias("src"), F.col("lang").alias("country"), F.array_join(F.slice("t", 1, 5), " ").alias("business_name"), address.alias("business_address"), F.sha2("text", 256).alias("text_key"))
 
 
+_staged: dict[tuple[str, str], DataFrame] = {}
+
+
+def fresh() -> None:
+    """Forget the staged tables: every query stages its own."""
+    _staged.clear()
+
+
+def _once(build):
+    """Written to the checkpoint folder the first time a query asks, as a pipeline stages its tables; later uses read the files."""
+
+    @wraps(build)
+    def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (build.__name__, sf_dir)
+        if key not in _staged:
+            _staged[key] = durable(build(spark, sf_dir))
+        return _staged[key]
+
+    return staged
+
+
+@_once
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows as after cleaning: name_tokens, addr_components, addr_house_number, addr_zip, name_legal_form."""
     r = raw(spark, sf_dir)
@@ -43,6 +69,7 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_once
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comparison records of the cleaned rows, with the region from the name's length."""
     c = cleaned(spark, sf_dir)
@@ -67,6 +94,7 @@ def second_side(df: DataFrame) -> DataFrame:
     return df.filter("src <> 1")
 
 
+@_once
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(s1_gid, s23_gid) of equal texts; a row of the second side belongs to the lowest first-side row."""
     r = raw(spark, sf_dir).select("gid", "src", "country", "text_key")

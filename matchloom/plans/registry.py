@@ -25,6 +25,7 @@ def query(sql: str | None = None):
 
     def add(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            fx.fresh()
             df = f(spark, sf_dir)
             return df.select(*(F.col(c).cast("long").alias(c) if kind in ("int", "smallint", "tinyint") else F.col(c) for c, kind in df.dtypes))
 
@@ -354,7 +355,8 @@ def trigram_jaccard(spark, sf_dir):
     """Trigram similarity of candidate names."""
     a, b = _both(spark, sf_dir, fx.records)
     d = features.sides(_first(spark, sf_dir).select("s1_gid", "s23_gid"), a, b, ["core"])
-    return d.select("s1_gid", "s23_gid", F.round(jaccard(trigrams(F.col("core_1"), 1), trigrams(F.col("core_2"), 1)), 6).alias("sim"))
+    d = d.withColumns({"x": trigrams(F.col("core_1"), 1), "y": trigrams(F.col("core_2"), 1)})
+    return d.select("s1_gid", "s23_gid", F.round(jaccard(F.col("x"), F.col("y")), 6).alias("sim"))
 
 
 # ---------------------------------------------------------------- features
