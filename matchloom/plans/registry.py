@@ -9,7 +9,7 @@ from matchloom.functions import addresses, names, script, text
 from matchloom.functions.expr import jaccard, trigrams
 from matchloom.functions.ship import ship
 from matchloom.functions.similarity import scores
-from matchloom.operators import blocking, decide, features, keys, labels, metric, model, profile
+from matchloom.operators import analysis, blocking, decide, features, keys, labels, metric, model, profile
 from matchloom.operators import records as recs
 from matchloom.plans import fixture as fx
 from matchloom.sources import tsv
@@ -738,3 +738,59 @@ def gbt_score(spark, sf_dir):
     d = model.labelled(_simple(spark, sf_dir), fx.truth(spark, sf_dir))
     fitted = model.train(model.subsample(d), inputs, rounds=10, depth=3)
     return model.predict(fitted, d).select("s1_gid", "s23_gid", F.round("prob", 6).alias("prob"))
+
+
+# ---------------------------------------------------------------- analysis
+
+
+@query(
+    with_fixture(
+        """SELECT CASE WHEN t.s1_gid IS NULL THEN 'false_link' WHEN l.s1_gid IS NOT NULL THEN 'found' WHEN p.s1_gid IS NOT NULL THEN 'lost_by_model' ELSE 'lost_in_blocking' END AS class, count(*) AS n
+FROM truth t FULL JOIN linked l ON l.s1_gid = t.s1_gid AND l.s23_gid = t.s23_gid LEFT JOIN prob p ON p.s1_gid = coalesce(t.s1_gid, l.s1_gid) AND p.s23_gid = coalesce(t.s23_gid, l.s23_gid) GROUP BY 1""",
+        _LISTS,
+        _SIMPLE,
+        _DECIDED,
+    )
+)
+def loss_split(spark, sf_dir):
+    """Where true links are lost."""
+    prob = _prob(spark, sf_dir)
+    return analysis.loss_split(decide.at_threshold(prob, THRESHOLD), prob, fx.truth(spark, sf_dir))
+
+
+@query(with_fixture("SELECT least(floor(prob * 10), 9)::BIGINT AS bin, count(*) AS n, count(t.s1_gid) AS n_true FROM prob p LEFT JOIN truth t ON t.s1_gid = p.s1_gid AND t.s23_gid = p.s23_gid GROUP BY 1", _LISTS, _SIMPLE))
+def score_histogram(spark, sf_dir):
+    """Candidates by score."""
+    return analysis.histogram(_prob(spark, sf_dir), fx.truth(spark, sf_dir))
+
+
+@query(
+    with_fixture(
+        f"SELECT k, round(avg({_F05}), 9) AS f05 FROM per GROUP BY k",
+        _LISTS,
+        _SIMPLE,
+        "ks AS (SELECT unnest([1, 3, 10]) AS k)",
+        f"kept AS (SELECT * FROM (SELECT k, p.s1_gid, p.s23_gid, row_number() OVER (PARTITION BY k, p.s23_gid ORDER BY prob DESC, p.s1_gid) AS rr FROM prob p JOIN ks ON blocking_rank <= k WHERE prob >= {THRESHOLD}) WHERE rr = 1)",
+        "per AS (SELECT ks.k, r.gid, count(x.s23_gid) AS n_pred, count(t.s23_gid) AS tp, any_value(coalesce(tt.n, 0)) AS n_true FROM ks CROSS JOIN raw r LEFT JOIN kept x ON x.k = ks.k AND x.s1_gid = r.gid LEFT JOIN truth t ON t.s1_gid = x.s1_gid AND t.s23_gid = x.s23_gid LEFT JOIN (SELECT s1_gid, count(*) AS n FROM truth GROUP BY 1) tt ON tt.s1_gid = r.gid WHERE r.src = 1 GROUP BY ALL)",
+    )
+)
+def length_sweep(spark, sf_dir):
+    """Score by length of the candidate lists."""
+    out = analysis.length_sweep(_prob(spark, sf_dir), fx.truth(spark, sf_dir), _rows(spark, sf_dir), THRESHOLD, [1, 3, 10], "blocking_rank")
+    return out.withColumn("f05", F.round("f05", 9))
+
+
+@query(with_fixture("SELECT country, count(*) FILTER (z <> '') AS n_zip, count(*) FILTER (z <> '' AND ltrim(z, '0') = ltrim(addr_house_number, '0')) AS n_same, round(count(*) FILTER (z <> '' AND ltrim(z, '0') = ltrim(addr_house_number, '0')) / nullif(count(*) FILTER (z <> ''), 0), 6) AS share FROM (SELECT *, CASE WHEN gid % 3 = 0 THEN '' WHEN gid % 3 = 1 THEN '0' || addr_house_number ELSE addr_zip END AS z FROM cleaned) GROUP BY 1"))
+def zip_collisions(spark, sf_dir):
+    """Zip-like tokens that repeat the house number."""
+    c = fx.cleaned(spark, sf_dir)
+    z = F.when(F.col("gid") % 3 == 0, "").when(F.col("gid") % 3 == 1, F.concat(F.lit("0"), "addr_house_number")).otherwise(F.col("addr_zip"))
+    return analysis.zip_collisions(c.withColumn("addr_zip", z)).withColumn("share", F.round("share", 6))
+
+
+@query(with_fixture("SELECT category, count(*) AS n_links FROM (SELECT CASE WHEN len(list_intersect(list_filter(a.name_tokens, lambda x: x <> ''), list_filter(b.name_tokens, lambda x: x <> ''))) > 0 THEN 'shares_name_token' ELSE 'other' END AS category FROM truth t JOIN cleaned a ON a.gid = t.s1_gid JOIN cleaned b ON b.gid = t.s23_gid WHERE NOT EXISTS (SELECT 1 FROM first1 f WHERE f.s1_gid = t.s1_gid AND f.s23_gid = t.s23_gid AND f.blocking_rank <= 1)) GROUP BY 1", _LISTS))
+def missed_similarity(spark, sf_dir):
+    """What missed links still share, for lists of one."""
+    short = _first(spark, sf_dir).filter("blocking_rank <= 1")
+    out = blocking.missed_similarity(fx.truth(spark, sf_dir), short, *_both(spark, sf_dir))
+    return out.groupBy(F.when(F.col("category") == "shares_name_token", F.col("category")).otherwise("other").alias("category")).agg(F.sum("n_links").alias("n_links"))
