@@ -17,6 +17,12 @@ pairs of bands of its remaining bits, until it is small or so few bits remain th
 counting (``2 ** FEW_BITS``). This is exact: nothing is capped. A bucket returns a spanning star per
 local group and not its pairs; the groups are then joined by alternating large-star and small-star
 rounds (public connected-components method), whose state is written to the checkpoint folder.
+
+``one_of_each`` has settings of its own: rows go whose sets of ``SIMILAR_WORDS``-word shingles have a
+Jaccard similarity of 0.8 or more. Such texts differ in about ten bits, often in more, and no
+band split of 64 bits finds that radius without comparing nearly all pairs. So fingerprint links only
+propose pairs there, and a prefix join proposes the rest: two sets that similar share a shingle among the first
+``n - ceil(0.8 n) + 1`` of each in any common order. Every proposed pair is verified by its exact similarity.
 """
 
 from collections.abc import Iterator
@@ -33,6 +39,12 @@ from matchloom.llm.common import LOWER, durable, id_text, map_batches, slices, w
 WORDS, RADIUS, BANDS, PIVOTS, BUCKET, FEW_BITS = 3, 3, 5, 24, 2048, 11
 #: Low bit of each byte: eight bit counters in one 64-bit number.
 LANES = np.uint64(0x0101010101010101)
+#: Near copies share SIMILAR[0] / SIMILAR[1] of the shingles of both.
+SIMILAR_WORDS, SIMILAR = 5, (4, 5)
+#: One text of so many is counted, in so many slots of shingles, to put common shingles last; any order is exact.
+COUNTED, SLOT_BITS = 8, 16
+#: Bits of the filter that picks the texts whose sets a step compares; it may let others through.
+ASKED_BITS = 22
 
 
 def shingle_hashes(text: bytes, n: int = WORDS) -> list[int]:
@@ -239,15 +251,145 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.join(by_fp, "fp").select("id", "fp", "component_id", "root", *keep)
 
 
+def common_levels(df: DataFrame, text_col: str = "text") -> np.ndarray:
+    """By slot of shingle hashes: 0, or more the more texts of a sample hold shingles of the slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            for _, texts in slices(batch):
+                for t in texts:
+                    if t:
+                        h = np.unique(np.array(shingle_hashes(t, SIMILAR_WORDS), np.uint64))
+                        n += np.bincount((h >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(n))
+        slot = np.flatnonzero(n)
+        yield pa.record_batch([pa.array(slot), pa.array(n[slot])], ["slot", "n"])
+
+    sample = id_text(df.filter(F.pmod(F.xxhash64(text_col), F.lit(COUNTED)) == 0).select(F.lit(0).alias("id"), text_col), "id", text_col)
+    counts = np.zeros(1 << SLOT_BITS)
+    for slot, n in map_batches(sample, run, "slot long, n long").groupBy("slot").agg(F.sum("n")).collect():  # one row a slot at most
+        counts[slot] = n
+    usual = np.median(counts)
+    return np.log2(np.maximum(1, counts / (usual + 4 * np.sqrt(usual) + 1))).astype(np.uint8)
+
+
+def _sets(texts: list[bytes | None]) -> list[np.ndarray]:
+    return [np.array(shingle_hashes(t, SIMILAR_WORDS), np.uint64) if t else np.zeros(0, np.uint64) for t in texts]
+
+
+def _set_key(own: np.ndarray) -> int:
+    return _signed(xxhash.xxh64_intdigest(own.tobytes(), 42))
+
+
+def prefixes(df: DataFrame, levels: np.ndarray, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """(id, fp, key, n, prefix, the columns of ``keep``): fingerprint, key and size of the set of shingles, and its rarest ones in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for ids, texts in slices(batch):
+                hashed = _sets(texts)
+                fp = majority(np.concatenate(hashed), np.array([len(x) for x in hashed]))
+                own = [np.unique(x) for x in hashed]
+                first = [x[np.argsort(levels[x >> np.uint64(64 - SLOT_BITS)], kind="stable")][: least_prefix(len(x))].view(np.int64) for x in own]
+                rest = [c.slice(done, len(ids)) for c in batch.columns[2:]]
+                done += len(ids)
+                yield pa.record_batch([ids, pa.array(fp.view(np.int64)), pa.array([_set_key(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), pa.array(first, pa.list_(pa.int64())), *rest], ["id", "fp", "key", "n", "prefix", *keep])
+
+    own = id_text(df, id_col, text_col, keep)
+    return map_batches(own, run, with_fields("id long, fp long, key long, n long, prefix array<long>", own.schema.fields[2:]))
+
+
+def least_prefix(n: int) -> int:
+    """So many of the first of ``n`` shingles must share one with any set that is similar enough."""
+    return n + -(SIMILAR[0] * n) // SIMILAR[1] + 1 if n else 0
+
+
+def shingle_sets(df: DataFrame, text_key: str, text_col: str, asked: DataFrame) -> DataFrame:
+    """(key, shingles) of the distinct sets of the texts whose keys are ``asked``, and of a few more texts: no text is shuffled."""
+    slot = F.pmod(F.col(text_key), F.lit(1 << ASKED_BITS))
+    bits = np.zeros((1 << ASKED_BITS) // 8, np.uint8)  # a filter of fixed size, in pieces of 4 KB
+    for piece, own in asked.groupBy(F.floor(slot / 32768)).agg(F.bitmap_construct_agg(slot % 32768)).collect():
+        bits[piece * 4096 : piece * 4096 + 4096] = np.frombuffer(bytes(own), np.uint8)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_numpy() & (1 << ASKED_BITS) - 1
+            for _, texts in slices(batch.filter(pa.array(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1))):
+                own = [np.unique(x) for x in _sets(texts)]
+                yield pa.record_batch([pa.array([_set_key(x) for x in own], pa.int64()), pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64()))], ["key", "shingles"])
+
+    return durable(map_batches(id_text(df, text_key, text_col), run, "key long, shingles array<long>").dropDuplicates(["key"]))
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets are similar enough."""
+    side = lambda c: sets.select(F.col("key").alias(c), F.col("shingles").alias(f"s{c}"))
+    d = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("both", F.size(F.array_intersect("sa", "sb")))
+    return d.filter(SIMILAR[1] * F.col("both") >= SIMILAR[0] * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
+
+
+def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, root[, the columns of ``keep``]) for every row of ``df``; root names the group of texts that exact links of similarity reach.
+
+    Equal sets are one node. Pairs are proposed twice: by fingerprints and by the least set of every shared
+    prefix shingle, which joins most near copies with few pairs; then all pairs of a shared prefix shingle
+    that the first links leave in different groups. Wordless texts are one group.
+    """
+    text_key = "_set_text"
+    keyed = df.withColumn(text_key, F.xxhash64(text_col))
+    rows = durable(prefixes(keyed, common_levels(df, text_col), id_col, text_col, (text_key, *[k for k in keep if k != text_key])))
+    first = rows.dropDuplicates(["key"])
+    nodes = durable(first.select("key", "n", "fp", text_key))
+    signs = first.select("key", "n", F.explode("prefix").alias("shingle")).repartition("shingle")
+    least = signs.groupBy("shingle").agg(F.count("*").alias("c"), F.min("key").alias("low"), F.min_by("n", "key").alias("low_n")).filter("c > 1").drop("c")
+    signs = durable(signs.join(least, "shingle"))
+
+    def fit(d: DataFrame) -> DataFrame:
+        return d.filter((F.col("a") != F.col("b")) & (SIMILAR[1] * F.least("na", "nb") >= SIMILAR[0] * F.greatest("na", "nb")))
+
+    def met(d: DataFrame) -> DataFrame:
+        """Pairs that share so many prefix shingles that all shingles behind a prefix could make up the rest."""
+        behind = lambda c: F.ceil(F.col(c) * SIMILAR[0] / SIMILAR[1]) - 1
+        found = fit(d).groupBy("a", "b").agg(F.count("*").alias("hits"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+        return found.filter(sum(SIMILAR) * (F.col("hits") + F.greatest(behind("na"), behind("nb"))) >= SIMILAR[0] * (F.col("na") + F.col("nb"))).select("a", "b")
+
+    named = lambda c: nodes.groupBy("fp").agg(F.min(F.struct("key", "n")).alias("s")).select(F.col("fp").alias(f"f{c}"), F.col("s.key").alias(c), F.col("s.n").alias(f"n{c}"))
+    linked = links(nodes.filter("n > 0").select("fp").distinct()).toDF("fa", "fb")
+    by_link = linked.join(named("a"), "fa").join(named("b"), "fb").select("a", "na", "b", "nb")
+    same_fp = nodes.select(F.col("fp").alias("fa"), F.col("key").alias("b"), F.col("n").alias("nb")).join(named("a"), "fa").select("a", "na", "b", "nb")
+    by_sign = signs.select(F.col("low").alias("a"), F.col("low_n").alias("na"), F.col("key").alias("b"), F.col("n").alias("nb"))
+    proposed = fit(by_link.unionByName(same_fp)).select("a", "b").unionByName(met(by_sign))
+    tried = durable(proposed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        asked = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi").select(text_key)
+        return durable(verified(pairs, shingle_sets(keyed, text_key, text_col, asked)))
+
+    edges = compared(tried)
+    comps = components(edges).withColumnRenamed("node", "key")
+    left = signs.join(comps, "key", "left").select("shingle", "key", "n", F.coalesce("root", "key").alias("root"))
+    split = left.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("shingle")
+    left = durable(left.join(split, "shingle"))
+    side = lambda c: left.select("shingle", F.col("key").alias(c), F.col("n").alias(f"n{c}"), F.col("root").alias(f"r{c}"))
+    apart = side("a").join(side("b"), "shingle").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")))
+    more = met(apart).join(tried, ["a", "b"], "left_anti")
+    more = compared(durable(more))
+    comps = components(edges.unionByName(more)).withColumnRenamed("node", "key")
+    return rows.join(comps, "key", "left").select("id", F.coalesce("root", "key").alias("root"), *keep)
+
+
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df``, all columns, without all but one of each group: the one of the smallest id stays.
+    """The rows of ``df``, all columns, without all but one of each group of ``similar_groups``: the one of the smallest id stays.
 
     Of rows that share id and text one stays; a group whose rows all lack an id keeps one of them.
     """
-    key, row_id = "_text_key", F.col(id_col).cast("long")
+    key, row, lacks = "_text_key", "_row_id", "_lacks_id"
     keyed = df.withColumn(key, F.xxhash64(text_col))
-    found = near_duplicates(keyed, id_col, text_col, (key,))
+    found = similar_groups(keyed, id_col, text_col, (key,))
     first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", key)).alias("s"))
-    stays = first.select(F.col("s.id").alias("_stays"), F.col(f"s.{key}").alias("_stays_key"))
-    kept = keyed.join(stays, row_id.eqNullSafe(F.col("_stays")) & (F.col(key) == F.col("_stays_key")), "left_semi")
-    return kept.dropDuplicates([id_col, key]).drop(key)
+    on = [row, lacks, key]  # one shuffle of the texts serves the join and the rows that are the same
+    own_id = F.col(id_col).cast("long")
+    stays = first.select(F.coalesce("s.id", F.lit(0)).alias(row), F.col("s.id").isNull().alias(lacks), F.col(f"s.{key}").alias(key))
+    kept = keyed.withColumns({row: F.coalesce(own_id, F.lit(0)), lacks: own_id.isNull()}).join(stays, on, "left_semi")
+    return kept.dropDuplicates([*on, id_col]).select(*df.columns)

@@ -97,3 +97,36 @@ def test_query(spark, small):
     for i, f in fps.items():
         low[root[f]] = min(i, low.get(root[f], i))
     assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in rows} == {i: (f"{f:016x}", low[root[f]]) for i, f in fps.items()}
+
+
+def brute_sets(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar_roots(texts):
+    """Root of each id, all pairs of texts compared by Jaccard similarity of five words."""
+    sets, root = {i: brute_sets(t) for i, t in texts.items()}, {i: i for i in texts}
+    for a in sorted(texts):
+        for b in sorted(x for x in texts if x < a):
+            shared = len(sets[a] & sets[b])
+            if (sets[a] == sets[b] or 5 * shared >= 4 * (len(sets[a]) + len(sets[b]) - shared)) and root[a] != root[b]:
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {i: new if r == old else r for i, r in root.items()}
+    return root
+
+
+def test_one_of_each_against_jaccard(spark):
+    rng = random.Random(11)
+    texts, common = {}, " ".join(f"c{i}" for i in range(12))
+    for _ in range(12):  # copies with a few words changed, on both sides of the limit and in chains
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice((3, 7, 30, 120, 300)))]
+        for _ in range(8):
+            texts[len(texts)] = " ".join(words) + (" " + common if rng.random() < 0.5 else "")
+            for _ in range(rng.randrange(1, max(2, len(words) // 25))):
+                words[rng.randrange(len(words))] = f"w{rng.randrange(5000)}"
+    root = similar_roots(texts)
+    far = [(a, b) for a, r in root.items() for b in [r] if a != b and (brute_fingerprint(texts[a]) ^ brute_fingerprint(texts[b])).bit_count() > 3]
+    assert far and len(set(root.values())) > 20
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.one_of_each(df).collect()) == sorted(set(root.values()))
