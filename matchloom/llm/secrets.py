@@ -25,7 +25,10 @@ LEAST_COST, LEAST_VALUE = 8.0, 6
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # the run is maximal, so 18 characters or none
 HEX = re.compile(r"[0-9a-f]{16,}")
-CONTEXT = re.compile(r"""(?<![A-Za-z0-9])(password|passwd|passphrase|passcode|pwd|pass|secret|token|api[_-]?key|credentials?)["']?[\x20\t]*(?::=|=>|[:=])[\x20\t]*(["'`]?)([^\s"'`<>]{6,})""", re.I | re.A)
+KEYWORD = r"(?:password|passwd|passphrase|passcode|pwd|pass|secret|token|api[_-]?key|credentials?)"
+SETS = r"""["']?[\x20\t]*(?:=>|[:=])"""
+#: An unquoted value ends where a separator and the next credential keyword follow, as in URL queries and connection strings.
+CONTEXT = re.compile(rf"""(?<![A-Za-z0-9])({KEYWORD}){SETS}[\x20\t]*(?:(["'`])([^\s"'`<>]{{6,}})|((?:(?!(?:&amp;|[&;,])["']?{KEYWORD}{SETS})[^\s"'`<>]){{6,}}))""", re.I | re.A)
 KEYWORDS = (b"pass", b"pwd", b"secret", b"token", b"api", b"credential")
 HEX_MAP = bytes(104 if 48 <= c <= 57 or 97 <= c <= 102 else 32 for c in range(256))
 
@@ -99,8 +102,9 @@ def scan(text: str) -> list[tuple[int, int, int, float | None]]:
     spans: list[tuple[int, int, int, float | None]] = [(*x, None) for x in sorted(base)]
     taken, k = sorted((a, b) for a, _, b in base), 0
     for m in CONTEXT.finditer(text):
-        a, b = m.span(3)
-        value = m[3]
+        own = 3 if m[2] else 4
+        a, b = m.span(own)
+        value = m[own]
         if not m[2]:
             value = value.rstrip(".,;:!?)]}")
             b = a + len(value)

@@ -80,3 +80,14 @@ def test_query(spark, small):
         assert [x for x in own["spans"].split(",") if x and not x.startswith("guess")] == expected
         assert [own[f"n_{k}"] for k in ("assign", "access", "hex")] == [sum(x.startswith(k) for x in expected) for k in ("assign", "access", "hex")]
     assert not rows
+
+
+def test_every_setting_of_a_joined_run_counts():
+    for first in ("0123456789abcdef", "abcdefghijklmn", "abc", "changeme"):
+        for sep in ("&", ";", ",", "&amp;"):
+            text = f"x?api_key={first}{sep}password=Tr0ub4!x9$Kq"
+            assert f"guess:{text.index('Tr0')}:{len(text)}" in named(text)
+    text = "token=abcdefghijklmn;pwd=Xy7$kQz!9w"
+    assert named(text) == ["assign:0:20", f"guess:25:{len(text)}"]
+    assert secrets.redact(text, [(a, b) for a, _, b, _ in secrets.scan(text)]) == "[SECRET];pwd=[SECRET]"
+    assert named("pwd=Xy7&k;Qz,9w=8!z") == ["guess:4:19"] and named("pwd='ab;token=Xy7$kQz!9w'") == ["guess:5:24"]
