@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.llm import wordlist
 from matchloom.llm.common import LOWER, id_text, map_batches, slices, with_fields
 
 KINDS = ("assign", "access", "hex", "guess")
@@ -44,18 +45,24 @@ WORDS = (
 ).split()
 #: Rows of a keyboard, the alphabet and the digits.
 WALKS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "qazwsxedcrfvtgbyhnujmikolp", "0123456789")
-RANK = {w: i + 1 for i, w in enumerate(WORDS)}
-LONGEST_WORD = max(map(len, WORDS))
+#: What other languages write after a keyword, as the vocabularies hold few of their long words.
+PHRASES = (
+    "obligatoire requis requise oublié oubliée invalide incorrecte utilisateur identifiant confirmer nécessaire protégé modifier contraseña requerido requerida obligatorio obligatoria "
+    "olvidada olvidado usuario incorrecta protegido protegida inválida confirmar necesario passwort kennwort benutzer benutzername erforderlich vergessen ungültig falsch geschützt "
+    "bestätigen notwendig eingeben ändern obbligatorio richiesto dimenticata utente obrigatório senha usuário verplicht vereist wachtwoord gebruiker"
+).split()
+RANK = {w: i + 1 for i, w in enumerate(dict.fromkeys([*WORDS, *PHRASES, *wordlist.WORDS]))}
+LONGEST_WORD = max(map(len, RANK))
 NEXT = {(a, b) for row in WALKS for r in (row, row[::-1]) for a, b in zip(r, r[1:], strict=False)}
 DATE = re.compile(r"(?:(?:19|20)\d\d[-/.]?(?:0?[1-9]|1[0-2])[-/.]?(?:0?[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])[-/.](?:0?[1-9]|1[0-2])[-/.](?:19|20)?\d\d|(?:19|20)\d\d)", re.A)
 LEET = str.maketrans("01345@$7", "oieasast")
-#: Decimal logarithm of the guesses for a character that no other span explains. Letters of one case are
-#: priced like letters of prose (about five likely ones after another), so that words of any language stay cheap.
-PER_CHAR = {"lower": 0.7, "digit": 1.0, "upper": 1.2, "other": 1.5}
+#: Decimal logarithm of the guesses for a character that no other span explains: the size of its class. Letters beyond
+#: ASCII are priced like letters of prose, as the word list has few words of their scripts.
+PER_CHAR = {"lower": math.log10(26), "digit": 1.0, "upper": math.log10(26), "other": 1.5, "prose": 0.7}
 
 
 def char_cost(c: str) -> float:
-    return PER_CHAR["lower" if c.islower() else "digit" if c.isdigit() else "upper" if c.isupper() else "other"]
+    return PER_CHAR["prose" if not c.isascii() and c.isalpha() else "lower" if c.islower() else "digit" if c.isdigit() else "upper" if c.isupper() else "other"]
 
 
 @lru_cache(4096)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from matchloom.llm import queries, secrets
@@ -91,3 +92,13 @@ def test_every_setting_of_a_joined_run_counts():
     assert named(text) == ["assign:0:20", f"guess:25:{len(text)}"]
     assert secrets.redact(text, [(a, b) for a, _, b, _ in secrets.scan(text)]) == "[SECRET];pwd=[SECRET]"
     assert named("pwd=Xy7&k;Qz,9w=8!z") == ["guess:4:19"] and named("pwd='ab;token=Xy7$kQz!9w'") == ["guess:5:24"]
+
+
+def test_generated_values_reach_the_threshold():
+    rng = random.Random(7)
+    drawn = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(8)) for _ in range(500)]
+    assert sum(secrets.guess_cost(x) >= secrets.LEAST_COST for x in drawn) > 450  # few hold a word or a walk by chance
+    for value in ("a8f3k2xq", "kqzvtrwmpxj", "q7x2m9zk"):
+        assert named(f"password: {value}") == [f"guess:10:{10 + len(value)}"], value
+    for value in ("required", "changeme", "incorrect", "protected", "obligatoire", "contraseña", "benutzer", "protegido", "username", "expired"):
+        assert named(f"password: {value}") == [], value
