@@ -4,7 +4,7 @@ The index is partitioned by document: each step of a task turns its documents in
 ascending list of word positions for every term that the benchmark uses. A phrase (a window of
 consecutive benchmark words) is found by intersecting the lists of its terms, shifted by their places in
 the phrase, from the rarest term on; proximity matches look up the nearest postings of an item's rarest
-terms. Lists never leave their task, so a frequent word or a passage that a third of all documents share
+terms, which are chosen once, by counts over all documents. Lists never leave their task, so a frequent word or a passage that a third of all documents share
 costs no shuffle and no large group.
 
 The benchmark is the stated query set. It is sent to the tasks in blocks of at most ``BLOCK_BYTES`` of
@@ -38,11 +38,12 @@ class Phrases:
         self.names = sorted({name for name, _ in items})
         number = {name: i for i, name in enumerate(self.names)}
         found: dict[tuple[int, ...], set[int]] = defaultdict(set)
-        self.words: list[tuple[int, np.ndarray]] = []
+        self.words: list[tuple[int, np.ndarray, int]] = []
+        self.near: list[tuple[int, np.ndarray, int, int]] = []
         for name, text in items:
             w = [self.terms.setdefault(x, len(self.terms)) for x in words_of(text)]
             if w:
-                self.words.append((number[name], np.unique(w)))
+                self.words.append((number[name], np.array(list(dict.fromkeys(w))), len(w)))
             for k in range(max(1, len(w) - window + 1) if w else 0):
                 found[tuple(w[k : k + window])].add(number[name])
         by_length: dict[int, list[tuple[int, ...]]] = defaultdict(list)
@@ -52,6 +53,15 @@ class Phrases:
         self.items = {n: [sorted(found[w]) for w in ws] for n, ws in by_length.items()}
         self.near_terms = near_terms
 
+    def choose(self, counts: np.ndarray, slop: int) -> None:
+        """Which terms of every item, how many of them and how near: by the counts of all documents, and by the size of the item."""
+        for item, terms, size in self.words:
+            have = terms[counts[terms] > 0]
+            if len(have) >= min(self.near_terms, len(terms)):
+                most = len(have) if len(have) <= self.near_terms else max(self.near_terms + 1, -(-len(terms) // 4))
+                rare = have[np.argsort(counts[have], kind="stable")[:most]]
+                self.near.append((item, rare, len(rare) if len(rare) <= self.near_terms else -(-3 * len(rare) // 4), max(slop, size + size // 2)))
+
 
 class Postings:
     """Positional posting lists of a run of documents, for the terms of ``phrases``."""
@@ -86,19 +96,22 @@ class Postings:
             at = at[more[i] == at + k]
         return at
 
-    def near(self, terms: np.ndarray, slop: int) -> np.ndarray:
-        """Places of the first of ``terms`` that have each other one within ``slop`` words, in the same document."""
-        at = self.of(terms[0])
+    def near(self, terms: np.ndarray, least: int, slop: int) -> np.ndarray:
+        """Places of any of ``terms`` that have ``least`` of them within the next ``slop`` words of the same document."""
+        terms = terms[self.counts[terms] > 0]
+        if len(terms) < least:
+            return np.zeros(0, np.int64)
+        at = np.concatenate([self.of(t) for t in terms])
         doc = np.searchsorted(self.starts, at, side="right") - 1
-        low, high = np.maximum(at - slop, self.starts[doc]), np.minimum(at + slop, self.starts[doc] + self.sizes[doc])
-        ok = np.ones(len(at), bool)
-        for t in terms[1:]:
+        high = np.minimum(at + slop + 1, self.starts[doc] + self.sizes[doc])
+        n = np.zeros(len(at), np.int64)
+        for t in terms:
             more = self.of(t)
-            ok &= np.searchsorted(more, low, side="left") < np.searchsorted(more, high, side="right")
-        return at[ok]
+            n += np.searchsorted(more, at, side="left") < np.searchsorted(more, high, side="left")
+        return at[n >= least]
 
 
-def search(texts: list[bytes | None], phrases: Phrases, slop: int = SLOP) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[set[int]], list[set[int]]]:
+def search(texts: list[bytes | None], phrases: Phrases) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[set[int]], list[set[int]]]:
     """Per document: number of words, merged spans of words that phrases cover, items with a phrase, items nearby."""
     index = Postings(texts, phrases.terms)
     edges = np.zeros(index.length + 1, np.int32)
@@ -111,13 +124,10 @@ def search(texts: list[bytes | None], phrases: Phrases, slop: int = SLOP) -> tup
                 np.add.at(edges, at + n, -1)
                 for d in np.unique(np.searchsorted(index.starts, at, side="right") - 1):
                     exact[d].update(phrases.items[n][w])
-    for item, terms in phrases.words:
-        have = terms[index.counts[terms] > 0]
-        if len(have) < min(phrases.near_terms, len(terms)):
-            continue
-        rare = have[np.argsort(index.counts[have], kind="stable")[: phrases.near_terms]]
-        for d in np.unique(np.searchsorted(index.starts, index.near(rare, slop), side="right") - 1):
+    for item, rare, least, span in phrases.near:
+        for d in np.unique(np.searchsorted(index.starts, index.near(rare, least, span), side="right") - 1):
             near[d].add(item)
+    near = [a | b for a, b in zip(near, exact, strict=True)]  # a passage is near where it stands
     covered = np.concatenate([[0], (np.cumsum(edges[:-1]) > 0).astype(np.int8), [0]])
     turns = np.diff(covered)
     begins, ends = np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
@@ -145,8 +155,9 @@ def matches(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int
     """(id, n_words, spans, items, near_items[, the columns of ``keep``]) for every row of ``df``.
 
     spans are the stretches [start, end) of words covered by some benchmark window, items the ids (as
-    text, sorted) of benchmark items with a window that occurs, near_items those whose rarest terms all
-    stand within ``slop`` words of each other (a hint for paraphrases, which decides nothing). An item of
+    text, sorted) of benchmark items with a window that occurs, near_items those, and
+    the items most of whose rarest terms (all, of up to ``NEAR_TERMS``) stand within ``slop`` words, or one and a half times
+    the item's length (a hint for paraphrases, which decides nothing). An item of
     fewer words than a window is one window; one without words matches nothing; null texts have no
     words; a null item id is written "null"; rows repeated under one id are rows of their own; empty
     tables give empty results or no matches; other columns are ignored unless named in ``keep``.
@@ -157,7 +168,22 @@ def matches(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int
 
     def block(b: int) -> Phrases:
         part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
-        return Phrases([(r[0], bytes(r[1])) for r in part.collect()], window)  # about block_bytes
+        return counted(Phrases(sorted((r[0], bytes(r[1])) for r in part.collect()), window))  # about block_bytes
+
+    def counted(phrases: Phrases) -> Phrases:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n = np.zeros(max(1, len(phrases.terms)), np.int64)
+            for batch in batches:
+                for _, texts in slices(batch, STEP_BYTES):
+                    n += Postings(texts, phrases.terms).counts
+            found = np.flatnonzero(n)
+            yield pa.record_batch([pa.array(found), pa.array(n[found])], ["term", "n"])
+
+        counts = np.zeros(max(1, len(phrases.terms)), np.int64)
+        for term, n in map_batches(id_text(df, id_col, text_col), run, "term long, n long").groupBy("term").agg(F.sum("n")).collect():  # benchmark terms
+            counts[term] = n
+        phrases.choose(counts, slop)
+        return phrases
 
     def step(phrases: Phrases, first: bool, last: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +191,7 @@ def matches(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int
             for batch in batches:
                 done = 0
                 for ids, texts in slices(batch, STEP_BYTES):
-                    sizes, spans, exact, near = search(texts, phrases, slop)
+                    sizes, spans, exact, near = search(texts, phrases)
                     rest = [c.slice(done, len(ids)) for c in batch.columns[1:]]
                     done += len(ids)
                     lists = [[[names[k] for k in x] for x in found] for found in (exact, near)]

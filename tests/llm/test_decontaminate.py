@@ -64,3 +64,19 @@ def test_query(spark, small):
         assert (own["n_words"], own["n_hit"], own["n_items"], own["contaminated"]) == (n, hit, len(found), hit > 0)
         assert own["items_sha256"] == hashlib.sha256(",".join(found).encode()).hexdigest()
     assert not rows
+
+
+def test_near_items_do_not_depend_on_the_batch(spark):
+    passage = " ".join(f"p{i}" for i in range(40))
+    edited = passage.replace("p3 ", "q ").replace("p17 ", "q ").replace("p30 ", "q ")
+    late = "one two three four " + passage[passage.index("p20 ") :]
+    other = "p0 p1 p2 p3 p39"  # would change which terms are rarest among its neighbours
+    texts = [passage, edited, late, "nothing of it at all", other] + ["p5 " * 50] * 3
+    rows = list(enumerate(texts))
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    found = []
+    for parts in (1, len(rows)):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found.append({r["id"]: r["near_items"] for r in decontaminate.matches(df, items).collect()})
+    assert found[0] == found[1]
+    assert {i for i, x in found[0].items() if x} == {0, 1, 2}
