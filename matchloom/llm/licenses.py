@@ -126,22 +126,15 @@ def band_keys(minima: list[np.ndarray], rows: int) -> list[np.ndarray]:
     return [minima[i].astype(np.uint64) if rows == 1 else minima[i].astype(np.uint64) << np.uint64(32) | minima[i + 1] for i in range(0, len(minima), rows)]
 
 
-def block_minima(p: np.ndarray, step: int, cuts: np.ndarray) -> np.ndarray:
-    """The least of every ``step`` values; strided for small steps, where that is faster."""
-    if step == 1:
-        return p
-    if step > 8:
-        return np.minimum.reduceat(p, cuts)
-    out = p[::step].copy()
-    for k in range(1, step):
-        own = p[k::step]
-        np.minimum(out[: len(own)], own, out=out[: len(own)])
-    return out
-
-
-def retrieve(h: np.ndarray, all_groups: list[Group]) -> list[tuple[int, int, int]]:
-    """(group, block, template) that share a band, for windows that begin at each block of ``h``."""
-    cuts = [np.arange(0, len(h), g.step) for g in all_groups]
+def retrieve(h: np.ndarray, sizes: np.ndarray, all_groups: list[Group]) -> list[tuple[int, int, int]]:
+    """(group, start, template) that share a band, for windows that begin at each block of each text of ``h``; blocks and windows end with their text."""
+    begins = np.cumsum(sizes) - sizes
+    cuts, texts = [], []
+    for g in all_groups:
+        n = -(-sizes // g.step)
+        text = np.repeat(np.arange(len(sizes)), n)
+        cuts.append(begins[text] + (np.arange(len(text)) - (np.cumsum(n) - n)[text]) * g.step)
+        texts.append(text)
     held: list[np.ndarray | None] = [None] * len(all_groups)
     pairs: set[tuple[int, int, int]] = set()
     for k in range(max((g.rows * g.bands for g in all_groups), default=0)):
@@ -149,10 +142,10 @@ def retrieve(h: np.ndarray, all_groups: list[Group]) -> list[tuple[int, int, int
         for n, g in enumerate(all_groups):
             if k >= g.rows * g.bands:
                 continue
-            least = block_minima(p, g.step, cuts[n])
+            least = p if g.step == 1 else np.minimum.reduceat(p, cuts[n])
             low = least.copy()
             for j in range(1, min(g.blocks, len(low))):
-                np.minimum(low[:-j], least[j:], out=low[:-j])
+                np.minimum(low[:-j], least[j:], out=low[:-j], where=texts[n][:-j] == texts[n][j:])
             if (k + 1) % g.rows:
                 held[n] = low
                 continue
@@ -160,7 +153,7 @@ def retrieve(h: np.ndarray, all_groups: list[Group]) -> list[tuple[int, int, int
             keys = g.keys[k // g.rows]
             for i in np.unique(keys):
                 for at in np.flatnonzero(key == i):
-                    pairs.update((n, int(at), int(t)) for t in g.owner[k // g.rows][keys == i])
+                    pairs.update((n, int(cuts[n][at]), int(t)) for t in g.owner[k // g.rows][keys == i])
     return sorted(pairs)
 
 
@@ -174,19 +167,18 @@ def scan(texts: list[bytes | None], found_groups: list[Group], containment: floa
     if not len(flat):
         return out
     raw: dict[tuple[int, str], list[list]] = {}
-    for n, block, t in retrieve(flat, found_groups):
+    for n, at, t in retrieve(flat, sizes, found_groups):
         g = found_groups[n]
-        a, b = block * g.step, min(len(flat), (block + g.blocks) * g.step)
-        d = int(np.searchsorted(ends, a, side="right"))
-        while d < len(sizes) and ends[d] - sizes[d] < b:  # a window can run into the next text
-            low, high = max(a, int(ends[d] - sizes[d])), min(b, int(ends[d]))
+        d = int(np.searchsorted(ends, at, side="right"))
+        begin, window = int(ends[d] - sizes[d]), g.blocks * g.step
+        for slack in (0, window):  # an occurrence with words put in reaches beyond the window
+            low, high = max(at - slack, begin), min(at + window + slack, int(ends[d]))
             own = flat[low:high]
             hit = np.flatnonzero(np.isin(own, g.sets[t]))
             share = len(np.unique(own[hit])) / len(g.sets[t])
             if share >= containment:
-                base = low - int(ends[d] - sizes[d])
-                raw.setdefault((d, g.names[t]), []).append([base + int(hit[0]), base + int(hit[-1]) + SHINGLE, share])
-            d += 1
+                raw.setdefault((d, g.names[t]), []).append([low - begin + int(hit[0]), low - begin + int(hit[-1]) + SHINGLE, share])
+                break
     for (d, name), spans in raw.items():
         joined: list[list] = []
         for a, b, share in sorted(spans):

@@ -69,3 +69,14 @@ def test_awkward_rows(spark, docs, no_docs):
 def test_query(spark, small):
     rows = {r["doc_id"]: set(filter(None, r["licenses"].split(","))) for r in queries.op4_licenses(spark, small).collect()}
     assert rows == {r["doc_id"]: brute(r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+
+
+def test_edited_notices_do_not_depend_on_what_stands_before():
+    own = licenses.groups(licenses.TEMPLATES)
+    for name, inserted in (("MPL-2.0-notice", 8), ("ISC-permission", 12)):
+        w = licenses.TEMPLATES[name].split()
+        text = " ".join([*w[: len(w) // 2], *(f"zz{i}" for i in range(inserted)), *w[len(w) // 2 :]]).encode()
+        for before in range(12):
+            first = " ".join(f"y{i}" for i in range(before + 5)).encode()
+            assert [s["license"] for s in licenses.scan([first, text, b"and some more words behind it"], own)[1]] == [name], (name, before)
+            assert licenses.scan([first, text], own)[1] == licenses.scan([text], own)[0]
