@@ -8,6 +8,8 @@ from matchloom.llm import chat, decontaminate, licenses, media, packing, quality
 from matchloom.llm.common import crc32_of_id, table
 
 PACKING_VOCABULARY, COUNTING_VOCABULARY = "word_bpe_49k.json", "piece_bpe_32k.model"
+#: Files whose words count as known in guesses of passwords.
+WORD_VOCABULARIES = ("word_bpe_49k.json", "byte_bpe_multi_50k.tiktoken")
 #: The turns of conversation -1, which every run formats besides the table's.
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
@@ -64,7 +66,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"), vocabularies=tuple(map(public_tokenizers.path, WORD_VOCABULARIES)))
     of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.sha2(secrets.joined(secrets.base_only(F.col("spans"))), 256)
     return found.select(F.col("id").alias("doc_id"), *(of(k) for k in secrets.KINDS), base.alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))

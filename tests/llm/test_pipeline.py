@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from matchloom.llm import quality, secrets
+from matchloom.llm import quality, queries, secrets
 from tests.llm.test_decontaminate import brute as brute_matches
 from tests.llm.test_packing import check_sequences
 from tests.llm.test_simhash import brute_fingerprint, brute_groups
@@ -41,7 +41,8 @@ def test_stages_against_brute_force(spark, small):
     assert {r["doc_id"]: r for r in df.collect()} == rows
 
     df = stages[3](spark, df, small)
-    texts = {i: secrets.redact(r["text"], [(a, b) for a, _, b, _ in secrets.scan(r["text"])]) for i, r in rows.items()}
+    guess = secrets.Guesser(tuple(map(public_tokenizers.path, queries.WORD_VOCABULARIES)))
+    texts = {i: secrets.redact(r["text"], [(a, b) for a, _, b, _ in secrets.scan(r["text"], guess)]) for i, r in rows.items()}
     assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in df.collect()} == {i: (t, len(t)) for i, t in texts.items()}
 
     library, expected = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), []

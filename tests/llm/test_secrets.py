@@ -1,9 +1,13 @@
 import hashlib
+import math
 import random
 import re
 
+import public_tokenizers
+
 from matchloom.llm import queries, secrets
 
+GUESS = secrets.Guesser(tuple(map(public_tokenizers.path, queries.WORD_VOCABULARIES)))
 KEYWORD = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in k) for k in ("password", "passwd", "secret", "token", "api_?key"))
 ASSIGN = re.compile(rf"""({KEYWORD})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
@@ -17,7 +21,7 @@ def brute(text):
 
 
 def named(text):
-    return [f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b, _ in secrets.scan(text)]
+    return [f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b, _ in secrets.scan(text, GUESS)]
 
 
 CASES = [
@@ -33,19 +37,53 @@ def test_base_kinds_stay():
 
 
 def test_guess_cost_orders_passwords():
-    cost = secrets.guess_cost
+    cost = GUESS.cost
     assert cost("password") < 1 and cost("qwertyuiop") < 4 and cost("aaaaaaaaaaaa") < 3 and cost("20240131") < 6
     assert cost("P@ssw0rd") < 4 < cost("x9$Kq2!zR") and cost("required") < secrets.LEAST_COST <= cost("x9$Kq2!zR")
     assert cost("hunter2") < cost("hvnter2") < cost("hV#ter2") and cost("") == 0
     assert cost("x" * 5000 + "y9$K" * 500) > 100
 
 
+def price(value, a, b):
+    """The least price of value[a:b] as one span, by its own reading of the rules."""
+    part = value[a:b]
+    low, n, found = part.lower(), b - a, [math.inf]
+    if n == 1:
+        c = part
+        found.append(0.7 if not c.isascii() and c.isalpha() else math.log10(26) if c.islower() or c.isupper() else 1.0 if c.isdigit() else 1.5)
+    case = 0.3 if part != low else 0
+    plain = "".join(dict(zip("01345@$7", "oieasast")).get(c, c) for c in low)
+    if n >= 3 and low in GUESS.rank:
+        found.append(math.log10(GUESS.rank[low] + 1) + case)
+    elif n >= 3 and plain in GUESS.rank:
+        found.append(math.log10(GUESS.rank[plain] + 1) + case + 0.3)
+    if n >= 3 and all(any(low[i : i + 2] in row or low[i : i + 2] in row[::-1] for row in secrets.WALKS) for i in range(n - 1)):
+        found.append(1.4 + math.log10(n))
+    if n >= 3 and len(set(part)) == 1:
+        found.append(price(value, a, a + 1) + math.log10(n))
+    if re.fullmatch(secrets.DATE, part):
+        found.append(math.log10(120 if n <= 4 else 365 * 120))
+    return min(found)
+
+
+def least(value):
+    best = [0.0] + [math.inf] * len(value)
+    for b in range(1, len(value) + 1):
+        best[b] = min(best[a] + price(value, a, b) for a in range(b))
+    return best[-1]
+
+
 def test_guess_cost_is_the_minimum():
-    """Against all cuts of short values into spans priced one by one."""
-    for value in ("pass1999x", "abcqwe11", "Love2you", "ab1z", "zzz9zz"):
-        n = len(value)
-        best = min(sum(secrets.guess_cost(value[a:b]) for a, b in zip((0, *cuts), (*cuts, n))) for mask in range(1 << (n - 1)) for cuts in [[i + 1 for i in range(n - 1) if mask >> i & 1]])
-        assert abs(best - secrets.guess_cost(value)) < 1e-9
+    """Against a plain dynamic programme over all spans, with prices of its own."""
+    rng = random.Random(3)
+    parts = ["matrix", "null", "pass", "Love", "P@ss", "qwerty", "2012", "20120101", "1999-12-31", "31.12.99", "aaa", "zzzz", "abcdef", "9876", "é", "x", "Q", "7", "$", "ABC", "12/1/2020", "199", "5" * 70, "welcome"]
+    values = ["matrixnull20120101", "x" * 150 + "word", "aaapassword", "abcdefghpassword", "1" * 80 + "2012"] + ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 6))) for _ in range(1500)]
+    for value in values:
+        expected = least(value)
+        if value.isupper() and value.lower() != value:
+            expected = min(expected, least(value.lower()) + math.log10(2))
+        assert abs(GUESS.cost(value) - expected) < 1e-9, value
+    assert GUESS.cost("matrixnull20120101") < secrets.LEAST_COST
 
 
 def test_added_spans():
@@ -79,6 +117,7 @@ def test_query(spark, small):
         own, expected = rows.pop(r["doc_id"]), brute(r["text"])
         assert own["base_sha256"] == hashlib.sha256(",".join(expected).encode()).hexdigest()
         assert [x for x in own["spans"].split(",") if x and not x.startswith("guess")] == expected
+        assert own["spans"] == ",".join(named(r["text"] or ""))
         assert [own[f"n_{k}"] for k in ("assign", "access", "hex")] == [sum(x.startswith(k) for x in expected) for k in ("assign", "access", "hex")]
     assert not rows
 
@@ -90,14 +129,14 @@ def test_every_setting_of_a_joined_run_counts():
             assert f"guess:{text.index('Tr0')}:{len(text)}" in named(text)
     text = "token=abcdefghijklmn;pwd=Xy7$kQz!9w"
     assert named(text) == ["assign:0:20", f"guess:25:{len(text)}"]
-    assert secrets.redact(text, [(a, b) for a, _, b, _ in secrets.scan(text)]) == "[SECRET];pwd=[SECRET]"
+    assert secrets.redact(text, [(a, b) for a, _, b, _ in secrets.scan(text, GUESS)]) == "[SECRET];pwd=[SECRET]"
     assert named("pwd=Xy7&k;Qz,9w=8!z") == ["guess:4:19"] and named("pwd='ab;token=Xy7$kQz!9w'") == ["guess:5:24"]
 
 
 def test_generated_values_reach_the_threshold():
     rng = random.Random(7)
     drawn = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(8)) for _ in range(500)]
-    assert sum(secrets.guess_cost(x) >= secrets.LEAST_COST for x in drawn) > 450  # few hold a word or a walk by chance
+    assert sum(GUESS.cost(x) >= secrets.LEAST_COST for x in drawn) > 450  # few hold a word or a walk by chance
     for value in ("a8f3k2xq", "kqzvtrwmpxj", "q7x2m9zk"):
         assert named(f"password: {value}") == [f"guess:10:{10 + len(value)}"], value
     for value in ("required", "changeme", "incorrect", "protected", "obligatoire", "contraseña", "benutzer", "protegido", "username", "expired"):
