@@ -7,7 +7,7 @@ A row of blocks is a restart interval. A file has at most ``MOST_ROWS`` rows of
 bits; a longer payload is several files in a row.
 
 ``thumbnails`` reads any baseline JPEG with 8-bit samples (grey or YCbCr, any sampling, with or without
-restart intervals): it parses the markers, Huffman-decodes the scan and reconstructs the luminance
+restart intervals, one scan or one for each component): it parses the markers, Huffman-decodes the luminance's scan and reconstructs the luminance
 thumbnail from the DC terms. Huffman decoding is serial within a restart interval, so all intervals of
 all files of a step that share tables are decoded side by side, one symbol of each at a time, in numpy.
 """
@@ -124,7 +124,7 @@ def encode(payloads: list[bytes]) -> list[bytes]:
 
 @dataclass
 class Frame:
-    """One baseline file: what its markers say, and its scan."""
+    """One baseline file: what its markers say up to the scan of the first component, and that scan."""
 
     width: int = 0
     height: int = 0
@@ -146,6 +146,7 @@ def parse(blob: bytes) -> list[Frame]:
         if blob[at : at + 2] != b"\xff\xd8":
             raise ValueError("no start of image")
         f, at = Frame(), at + 2
+        quant, tables, interval = {}, {}, 0  # as they stand; later scans may change them
         while True:
             if at + 2 > n or blob[at] != 0xFF:
                 raise ValueError("a marker is missing")
@@ -161,7 +162,9 @@ def parse(blob: bytes) -> list[Frame]:
             if marker == 0xDB:
                 while body:
                     wide = body[0] >> 4
-                    f.quant[body[0] & 15] = int.from_bytes(body[1 : 2 + wide])
+                    if wide > 1 or len(body) < 1 + 64 * (1 + wide):
+                        raise ValueError("a quantisation table is damaged")
+                    quant[body[0] & 15] = int.from_bytes(body[1 : 2 + wide])
                     body = body[1 + 64 * (1 + wide) :]
             elif marker == 0xC0:
                 bits, f.height, f.width, count = struct.unpack(">BHHB", body[:6])
@@ -171,19 +174,21 @@ def parse(blob: bytes) -> list[Frame]:
             elif marker == 0xC4:
                 while body:
                     k = 17 + sum(body[1:17])
-                    f.tables[body[0]], body = body[1:k], body[k:]
+                    tables[body[0]], body = body[1:k], body[k:]
             elif 0xC1 <= marker <= 0xCF and marker != 0xC8 and marker != 0xCC:
                 raise ValueError("not a baseline file")
             elif marker == 0xDD:
-                f.interval = int.from_bytes(body)
+                interval = int.from_bytes(body)
             elif marker == 0xDA:
-                if f.scan:
-                    raise ValueError("several scans")
                 names = [c[0] for c in f.components]
-                f.scan = [(names.index(body[i]), body[i + 1] >> 4, body[i + 1] & 15) for i in range(1, 1 + 2 * body[0], 2)]
+                scan = [(names.index(body[i]), body[i + 1] >> 4, body[i + 1] & 15) for i in range(1, 1 + 2 * body[0], 2)]
                 m = NEXT.search(blob, at)
                 end = m.start() if m else n
-                f.data, at = blob[at:end], end
+                if any(c == 0 for c, _, _ in scan):  # scans of other components alone say nothing of the luminance
+                    if f.scan:
+                        raise ValueError("the first component has several scans")
+                    f.scan, f.data, f.quant, f.tables, f.interval = scan, blob[at:end], dict(quant), dict(tables), interval
+                at = end
         if not f.scan or not f.components:
             raise ValueError("a file without a scan")
         frames.append(f)
@@ -334,7 +339,9 @@ def described(df: DataFrame) -> DataFrame:
 
     The payload is what the thumbnails of the stored form hold, read back from its bytes. width and
     height (summed over files) are in pixels. Media that isn't baseline JPEG has nulls but for its own
-    size and digest; a null media value is passed on as nulls.
+    size and digest, damaged files and empty values included; a null media value is passed on as nulls. Very long
+    values are decoded as steps of their own; repeated rows and ids stay; an empty table gives an empty result;
+    other columns are ignored.
     """
     names = ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "width", "height", "thumb_hash"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
@@ -342,7 +349,7 @@ def described(df: DataFrame) -> DataFrame:
     def read(media: list[bytes]) -> list[list[np.ndarray] | None]:
         try:
             return list(thumbnails(media))
-        except (ValueError, KeyError, IndexError, struct.error):
+        except (ValueError, KeyError, IndexError, OverflowError, struct.error):
             if len(media) == 1:
                 return [None]
             return [x for m in media for x in read([m])]

@@ -140,6 +140,31 @@ def test_broken_media(spark):
     assert out[2]["payload_bytes"] is None and out[2]["media_bytes"] == 7 and out[4]["media_bytes"] is None
 
 
+def test_damaged_bytes_give_nulls_and_no_error(spark):
+    good = media.encode([media.pad(b"fine and well")])[0]
+    rows = [(i, good[:i] + bytes([v]) + good[i + 1 :], 13) for i in range(len(good) - 2) for v in (0x40, 0xFF, 0)]
+    out = media.described(spark.createDataFrame(rows, "id long, media binary, n_bytes long")).collect()
+    assert len(out) == len(rows) and all(r["media_bytes"] == len(good) for r in out)
+    assert any(r["payload_bytes"] is None for r in out if r["id"] == 24)
+
+
+def test_a_scan_for_each_component():
+    """Two components, one scan each, with other tables before the second scan, in both orders."""
+    a, b = media.pad(b"luminance " * 40), media.pad(b"another component " * 22)
+    assert len(a) == len(b)
+    rows = len(a) // media.COLUMNS
+    scans = [x[len(media.header(rows)) : -2] for x in media.encode([a, b])]
+    head = media.header(rows)
+    frame = media.segment(0xC0, struct.pack(">BHHB", 8, rows * 8, media.COLUMNS * 8, 2) + bytes([1, 0x11, 0, 2, 0x11, 0]))
+    start = head.index(b"\xff\xc0")
+    head = head[:start] + frame + head[start + 13 : head.index(b"\xff\xda")]
+    first, second = (media.segment(0xDA, bytes([1, n, 0, 0, 63, 0])) for n in (1, 2))
+    other = media.dht(0x00, {i: 4 for i in range(12)}) + media.segment(0xDB, bytes([0] + [3] * 64))
+    back = media.dht(0x00, media.DC_LENGTHS) + media.segment(0xDB, bytes([0] + [media.STEP] * 64))
+    blobs = [head + first + scans[0] + other + second + scans[1] + b"\xff\xd9", head + other + second + scans[1] + back + first + scans[0] + b"\xff\xd9"]
+    assert [t.tobytes() for (t,) in media.thumbnails(blobs)] == [a, a]
+
+
 def check(rows, texts):
     for r, t in zip(rows, texts, strict=True):
         payload = media.pad((t or "").encode())
