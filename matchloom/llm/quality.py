@@ -130,8 +130,9 @@ def _columns(df: DataFrame, *more: str) -> DataFrame:
 def learn(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """A machine fitted on the rows of ``df`` that ``labels`` (doc_id, quality) mark; labels and ids are no features.
 
-    Rows without a mark or an id teach nothing; contradicting marks of one id all count; of several rows
-    of one id, each counts. More than ``sample`` marks: those with the lowest hash of the id.
+    ``sample`` bounds the labelled rows that teach: those with the lowest hash of the id, then mark and features. Up to
+    that bound contradicting marks of one id all count, and so does each of several rows of one id. Rows without
+    a mark or an id teach nothing. Empty tables give a machine that scores 0.5 throughout.
     """
     marks = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("y")).filter("id is not null and y in (0, 1)").distinct()
     marks = marks.orderBy(F.xxhash64("id"), "id", "y").limit(sample)
@@ -146,7 +147,7 @@ def learn(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
                 done += len(ids)
                 yield pa.record_batch([ids, pa.array([f[0].astype(np.int16).tobytes() for f in found], pa.binary()), pa.array([f[1].astype(np.float32).tobytes() for f in found], pa.binary()), y], ["id", "i", "x", "y"])
 
-    got = map_batches(rows, run, "id long, i binary, x binary, y int").orderBy(F.xxhash64("id"), "y", "x").limit(2 * sample).collect()
+    got = map_batches(rows, run, "id long, i binary, x binary, y int").orderBy(F.xxhash64("id"), "y", "x").limit(sample).collect()
     return fit([(np.frombuffer(r[1], np.int16).astype(np.int64), np.frombuffer(r[2], np.float32), r[3]) for r in got])
 
 
