@@ -1,6 +1,8 @@
 """Cut lineage in storage that every executor can reach."""
 
 import tempfile
+import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,3 +22,23 @@ def durable(df: DataFrame) -> DataFrame:
     """``df`` written once to the checkpoint folder; later uses read the files, also after a lost executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+@dataclass
+class Stored:
+    """A table of columns in the checkpoint folder; compressed, and removed as soon as its maker needs it no more."""
+
+    df: DataFrame
+    path: str
+
+    def remove(self) -> None:
+        jvm, path = self.df.sparkSession._jvm, self.path
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def stored(df: DataFrame) -> Stored:
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4()}"
+    df.write.option("compression", "zstd").parquet(path)
+    return Stored(spark.read.schema(df.schema).parquet(path), path)
