@@ -25,7 +25,9 @@ propose pairs there, and a prefix join proposes the rest: two sets that similar
 ``n - ceil(0.8 n) + 1`` of each in any common order. Every proposed pair is verified by its exact similarity.
 """
 
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -33,7 +35,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from matchloom.functions.durable import Stored, stored
 from matchloom.llm.common import LOWER, durable, id_text, map_batches, slices, with_fields
 
 WORDS, RADIUS, BANDS, PIVOTS, BUCKET, FEW_BITS = 3, 3, 5, 24, 2048, 11
@@ -41,8 +45,10 @@ WORDS, RADIUS, BANDS, PIVOTS, BUCKET, FEW_BITS = 3, 3, 5, 24, 2048, 11
 LANES = np.uint64(0x0101010101010101)
 #: Near copies share SIMILAR[0] / SIMILAR[1] of the shingles of both.
 SIMILAR_WORDS, SIMILAR = 5, (4, 5)
-#: One text of so many is counted, in so many slots of shingles, to put common shingles last; any order is exact.
-COUNTED, SLOT_BITS = 8, 16
+#: One text of so many is counted, in two tables of counters of shingles, to put common shingles last; any order is exact.
+COUNTED, SLOT_BITS = 8, 22
+#: Sets that share a prefix shingle and are compared in pairs; beyond, they meet in blocks of about two times so many shingles.
+FEW, BLOCK_SHINGLES = 64, 500_000
 #: Bits of the filter that picks the texts whose sets a step compares; it may let others through.
 ASKED_BITS = 22
 
@@ -251,53 +257,99 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.join(by_fp, "fp").select("id", "fp", "component_id", "root", *keep)
 
 
-def common_levels(df: DataFrame, text_col: str = "text") -> np.ndarray:
-    """By slot of shingle hashes: 0, or more the more texts of a sample hold shingles of the slot."""
+def _counters(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two counters of every shingle."""
+    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64), ((hashes >> np.uint64(10)) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+
+
+@dataclass
+class Common:
+    """Levels of the counters that stand out, by table: (slots, levels)."""
+
+    tables: list[tuple[np.ndarray, np.ndarray]]
+
+    def dense(self) -> list[np.ndarray]:
+        out = [np.zeros(1 << SLOT_BITS, np.uint8) for _ in self.tables]
+        for levels, (slot, level) in zip(out, self.tables, strict=True):
+            levels[slot] = level
+        return out
+
+
+def common_shingles(df: DataFrame, text_col: str = "text") -> Common:
+    """Which counters stand out in a sample of texts. They only order the shingles: any order is exact."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(1 << SLOT_BITS, np.int64)
+        counts, total = [np.zeros(1 << SLOT_BITS, np.int32) for _ in range(2)], 0
         for batch in batches:
             for _, texts in slices(batch):
-                for t in texts:
-                    if t:
-                        h = np.unique(np.array(shingle_hashes(t, SIMILAR_WORDS), np.uint64))
-                        n += np.bincount((h >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(n))
-        slot = np.flatnonzero(n)
-        yield pa.record_batch([pa.array(slot), pa.array(n[slot])], ["slot", "n"])
+                for own in _sets(texts):
+                    total += len(own)
+                    for c, slot in zip(counts, _counters(own), strict=True):
+                        c += np.bincount(slot, minlength=len(c)).astype(np.int32) if len(own) > 1 << 16 else 0
+                        if len(own) <= 1 << 16:
+                            np.add.at(c, slot, 1)
+        found = [np.flatnonzero(c > 1) for c in counts]  # one alone says little, and most are alone
+        yield pa.record_batch([pa.array(np.concatenate([[-1], found[0], found[1] + (1 << SLOT_BITS)])), pa.array(np.concatenate([[total], counts[0][found[0]], counts[1][found[1]]]).astype(np.int64))], ["slot", "n"])
 
     sample = id_text(df.filter(F.pmod(F.xxhash64(text_col), F.lit(COUNTED)) == 0).select(F.lit(0).alias("id"), text_col), "id", text_col)
-    counts = np.zeros(1 << SLOT_BITS)
-    for slot, n in map_batches(sample, run, "slot long, n long").groupBy("slot").agg(F.sum("n")).collect():  # one row a slot at most
-        counts[slot] = n
-    usual = np.median(counts)
-    return np.log2(np.maximum(1, counts / (usual + 4 * np.sqrt(usual) + 1))).astype(np.uint8)
+    counts = durable(map_batches(sample, run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).filter("n >= 4 or slot < 0"))
+    mean = (counts.filter("slot < 0").agg(F.sum("n")).first()[0] or 0) / (1 << SLOT_BITS)
+    least = max(4.0, 2 * mean + 4 * mean**0.5)
+    got = counts.filter((F.col("slot") >= 0) & (F.col("n") >= least)).toArrow()  # under half the counters, whatever the input
+    slot, n = got.column("slot").to_numpy(), got.column("n").to_numpy()
+    level = np.minimum(255, np.ceil(2 * np.log2(n / least)) + 1).astype(np.uint8)
+    first = slot < 1 << SLOT_BITS
+    return Common([(slot[first], level[first]), (slot[~first] - (1 << SLOT_BITS), level[~first])])
 
 
 def _sets(texts: list[bytes | None]) -> list[np.ndarray]:
-    return [np.array(shingle_hashes(t, SIMILAR_WORDS), np.uint64) if t else np.zeros(0, np.uint64) for t in texts]
+    return [np.unique(np.array(shingle_hashes(t, SIMILAR_WORDS), np.uint64)) if t else np.zeros(0, np.uint64) for t in texts]
 
 
 def _set_key(own: np.ndarray) -> int:
     return _signed(xxhash.xxh64_intdigest(own.tobytes(), 42))
 
 
-def prefixes(df: DataFrame, levels: np.ndarray, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
-    """(id, fp, key, n, prefix, the columns of ``keep``): fingerprint, key and size of the set of shingles, and its rarest ones in order."""
+def keyed_sets(df: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """(id, fp, key, n, the columns of ``keep``): fingerprint, key and size of the set of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
             for ids, texts in slices(batch):
-                hashed = _sets(texts)
+                hashed = [np.array(shingle_hashes(t, SIMILAR_WORDS), np.uint64) if t else np.zeros(0, np.uint64) for t in texts]
                 fp = majority(np.concatenate(hashed), np.array([len(x) for x in hashed]))
                 own = [np.unique(x) for x in hashed]
-                first = [x[np.argsort(levels[x >> np.uint64(64 - SLOT_BITS)], kind="stable")][: least_prefix(len(x))].view(np.int64) for x in own]
                 rest = [c.slice(done, len(ids)) for c in batch.columns[2:]]
                 done += len(ids)
-                yield pa.record_batch([ids, pa.array(fp.view(np.int64)), pa.array([_set_key(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), pa.array(first, pa.list_(pa.int64())), *rest], ["id", "fp", "key", "n", "prefix", *keep])
+                yield pa.record_batch([ids, pa.array(fp.view(np.int64)), pa.array([_set_key(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), *rest], ["id", "fp", "key", "n", *(f"k{i}" for i in range(len(keep)))])
 
     own = id_text(df, id_col, text_col, keep)
-    return map_batches(own, run, with_fields("id long, fp long, key long, n long, prefix array<long>", own.schema.fields[2:]))
+    fields = [T.StructField(f"k{i}", f.dataType, f.nullable) for i, f in enumerate(own.schema.fields[2:])]
+    return map_batches(own, run, with_fields("id long, fp long, key long, n long", fields))
+
+
+def prefixes(df: DataFrame, common: Common, text_col: str) -> DataFrame:
+    """(shingle, key, n): the rarest shingles of every set, as many as must hold one of any set that is similar enough. A set that comes again in a task isn't repeated."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels, seen = common.dense(), set()
+        for batch in batches:
+            for _, texts in slices(batch):
+                first, keys, sizes = [], [], []
+                for own in _sets(texts):
+                    key = _set_key(own)
+                    if len(own) and key not in seen:
+                        seen.add(key)
+                        level = np.minimum(*(t[slot] for t, slot in zip(levels, _counters(own), strict=True)))
+                        first.append(own[np.argsort(level, kind="stable")][: least_prefix(len(own))].view(np.int64))
+                        keys.append(key)
+                        sizes.append(len(own))
+                if first:
+                    many = [len(x) for x in first]
+                    yield pa.record_batch([np.concatenate(first), np.repeat(np.array(keys, np.int64), many), np.repeat(np.array(sizes, np.int64), many)], ["shingle", "key", "n"])
+
+    return map_batches(id_text(df.select(F.lit(0).alias("id"), text_col), "id", text_col), run, "shingle long, key long, n long")
 
 
 def least_prefix(n: int) -> int:
@@ -306,44 +358,112 @@ def least_prefix(n: int) -> int:
 
 
 def shingle_sets(df: DataFrame, text_key: str, text_col: str, asked: DataFrame) -> DataFrame:
-    """(key, shingles) of the distinct sets of the texts whose keys are ``asked``, and of a few more texts: no text is shuffled."""
-    slot = F.pmod(F.col(text_key), F.lit(1 << ASKED_BITS))
-    bits = np.zeros((1 << ASKED_BITS) // 8, np.uint8)  # a filter of fixed size, in pieces of 4 KB
-    for piece, own in asked.groupBy(F.floor(slot / 32768)).agg(F.bitmap_construct_agg(slot % 32768)).collect():
-        bits[piece * 4096 : piece * 4096 + 4096] = np.frombuffer(bytes(own), np.uint8)
+    """(key, shingles) of the sets of the texts whose keys are ``asked``, and of a few more texts: no text is shuffled. Sets may come again, from other tasks."""
+    bits = filter_bits(asked.select(F.col(text_key).alias("k")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             at = batch.column(0).to_numpy() & (1 << ASKED_BITS) - 1
             for _, texts in slices(batch.filter(pa.array(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1))):
-                own = [np.unique(x) for x in _sets(texts)]
-                yield pa.record_batch([pa.array([_set_key(x) for x in own], pa.int64()), pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64()))], ["key", "shingles"])
+                own = {k: x for x in _sets(texts) if (k := _set_key(x)) not in seen}
+                seen.update(own)
+                yield pa.record_batch([pa.array(list(own), pa.int64()), pa.array([x.view(np.int64) for x in own.values()], pa.list_(pa.int64()))], ["key", "shingles"])
+
+    return map_batches(id_text(df, text_key, text_col), run, "key long, shingles array<long>")
 
-    return durable(map_batches(id_text(df, text_key, text_col), run, "key long, shingles array<long>").dropDuplicates(["key"]))
+
+def filter_bits(keys: DataFrame) -> np.ndarray:
+    """A filter of fixed size over ``keys`` (k): the bits of their last ``ASKED_BITS`` bits."""
+    slot = F.pmod(F.col("k"), F.lit(1 << ASKED_BITS))
+    bits = np.zeros((1 << ASKED_BITS) // 8, np.uint8)
+    for piece, own in keys.groupBy(F.floor(slot / 32768)).agg(F.bitmap_construct_agg(slot % 32768)).collect():  # in pieces of 4 KB
+        bits[piece * 4096 : piece * 4096 + 4096] = np.frombuffer(bytes(own), np.uint8)
+    return bits
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar enough."""
     side = lambda c: sets.select(F.col("key").alias(c), F.col("shingles").alias(f"s{c}"))
     d = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("both", F.size(F.array_intersect("sa", "sb")))
-    return d.filter(SIMILAR[1] * F.col("both") >= SIMILAR[0] * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
+    return d.filter(SIMILAR[1] * F.col("both") >= SIMILAR[0] * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b").distinct()
+
+
+def block_links(keys: list[int], roots: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Spanning links between the sets of a block that are similar enough and whose roots differ.
+
+    Sets of one root are one group from the start. Every set outside the largest group is compared with all others, by counting
+    through an index of the block's shingles, until its group has joined the largest.
+    """
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    owner, flat = owner[order], flat[order]
+    groups = Counter(roots)
+    largest, found = groups.most_common(1)[0][0], []
+    for i in sorted(range(len(sets)), key=lambda i: (groups[roots[i]], roots[i])):
+        if root(roots[i]) == root(largest):
+            continue
+        low, high = np.searchsorted(flat, sets[i], "left"), np.searchsorted(flat, sets[i], "right")
+        many = high - low
+        at = np.arange(many.sum()) + np.repeat(low - (np.cumsum(many) - many), many)
+        both = np.bincount(owner[at], minlength=len(sets))
+        for j in np.flatnonzero(SIMILAR[1] * both >= SIMILAR[0] * (sizes + sizes[i] - both)):
+            if (a := root(roots[i])) != (b := root(roots[j])):
+                parent[a] = b
+                found.append((min(keys[i], keys[j]), max(keys[i], keys[j])))
+    return found
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cell, key, root, shingles), sorted by cell and key -> links. Only the open cell is held."""
+    cell, keys, roots, sets = None, [], [], []
+
+    def close():
+        if len(set(roots)) > 1 and (found := block_links(keys, roots, sets)):
+            yield pa.record_batch([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
+
+    for batch in batches:
+        for c, k, r, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+            if c != cell:
+                yield from close()
+                cell, keys, roots, sets = c, [], [], []
+            if not keys or keys[-1] != k:  # a set may come again
+                keys.append(k)
+                roots.append(r)
+                sets.append(own.values.to_numpy().view(np.uint64))
+    yield from close()
 
 
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, root[, the columns of ``keep``]) for every row of ``df``; root names the group of texts that exact links of similarity reach.
 
-    Equal sets are one node. Pairs are proposed twice: by fingerprints and by the least set of every shared
-    prefix shingle, which joins most near copies with few pairs; then all pairs of a shared prefix shingle
-    that the first links leave in different groups. Wordless texts are one group.
+    Equal sets are one node; wordless texts are one group. Links are found in three steps, each without all pairs:
+
+    1. Pairs proposed by fingerprints, and by the least set of every shared prefix shingle with each other set of it, join most near copies.
+    2. Of prefix shingles that at most ``FEW`` sets share, the pairs that step 1 leaves in different groups.
+    3. Sets that share a more frequent prefix shingle, and which step 1 leaves in different groups, meet in blocks of bounded size;
+       a block returns spanning links.
     """
     text_key = "_set_text"
+    while text_key in df.columns:
+        text_key += "_"
     keyed = df.withColumn(text_key, F.xxhash64(text_col))
-    rows = durable(prefixes(keyed, common_levels(df, text_col), id_col, text_col, (text_key, *[k for k in keep if k != text_key])))
-    first = rows.dropDuplicates(["key"])
-    nodes = durable(first.select("key", "n", "fp", text_key))
-    signs = first.select("key", "n", F.explode("prefix").alias("shingle")).repartition("shingle")
-    least = signs.groupBy("shingle").agg(F.count("*").alias("c"), F.min("key").alias("low"), F.min_by("n", "key").alias("low_n")).filter("c > 1").drop("c")
-    signs = durable(signs.join(least, "shingle"))
+    own = tuple(f"k{i + 1}" for i in range(len(keep)))
+    rows = durable(keyed_sets(keyed, id_col, text_col, (text_key, *keep)))
+    nodes = durable(rows.groupBy("key").agg(F.min(F.struct("n", "fp", "k0")).alias("s")).select("key", "s.n", "s.fp", F.col("s.k0").alias("t")))
+    text_keys = rows.select("key", F.col("k0").alias(text_key))
+    entries = prefixes(df, common_shingles(df, text_col), text_col).repartition("shingle")
+    least = entries.groupBy("shingle").agg(F.min(F.struct("key", "n")).alias("low"), F.max("key").alias("high")).filter("low.key < high")
+    signs = stored(entries.join(least, "shingle").select("shingle", "key", "n", F.col("low.key").alias("low"), F.col("low.n").alias("low_n")).distinct())
 
     def fit(d: DataFrame) -> DataFrame:
         return d.filter((F.col("a") != F.col("b")) & (SIMILAR[1] * F.least("na", "nb") >= SIMILAR[0] * F.greatest("na", "nb")))
@@ -354,42 +474,71 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         found = fit(d).groupBy("a", "b").agg(F.count("*").alias("hits"), F.first("na").alias("na"), F.first("nb").alias("nb"))
         return found.filter(sum(SIMILAR) * (F.col("hits") + F.greatest(behind("na"), behind("nb"))) >= SIMILAR[0] * (F.col("na") + F.col("nb"))).select("a", "b")
 
+    def sets_of(keys: DataFrame) -> Stored:
+        asked = text_keys.join(keys, "key", "left_semi")
+        return stored(shingle_sets(keyed, text_key, text_col, asked).join(keys, "key", "left_semi"))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+        found = durable(verified(pairs, sets.df))
+        sets.remove()
+        return found
+
     named = lambda c: nodes.groupBy("fp").agg(F.min(F.struct("key", "n")).alias("s")).select(F.col("fp").alias(f"f{c}"), F.col("s.key").alias(c), F.col("s.n").alias(f"n{c}"))
     linked = links(nodes.filter("n > 0").select("fp").distinct()).toDF("fa", "fb")
     by_link = linked.join(named("a"), "fa").join(named("b"), "fb").select("a", "na", "b", "nb")
     same_fp = nodes.select(F.col("fp").alias("fa"), F.col("key").alias("b"), F.col("n").alias("nb")).join(named("a"), "fa").select("a", "na", "b", "nb")
-    by_sign = signs.select(F.col("low").alias("a"), F.col("low_n").alias("na"), F.col("key").alias("b"), F.col("n").alias("nb"))
+    by_sign = signs.df.select(F.col("low").alias("a"), F.col("low_n").alias("na"), F.col("key").alias("b"), F.col("n").alias("nb"))
     proposed = fit(by_link.unionByName(same_fp)).select("a", "b").unionByName(met(by_sign))
     tried = durable(proposed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        asked = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi").select(text_key)
-        return durable(verified(pairs, shingle_sets(keyed, text_key, text_col, asked)))
-
     edges = compared(tried)
+
     comps = components(edges).withColumnRenamed("node", "key")
-    left = signs.join(comps, "key", "left").select("shingle", "key", "n", F.coalesce("root", "key").alias("root"))
-    split = left.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("shingle")
-    left = durable(left.join(split, "shingle"))
-    side = lambda c: left.select("shingle", F.col("key").alias(c), F.col("n").alias(f"n{c}"), F.col("root").alias(f"r{c}"))
+    left = signs.df.join(comps, "key", "left").select("shingle", "key", "n", "low", F.coalesce("root", "key").alias("root"))
+    split = left.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("c")).filter("x < y").select("shingle", "c")
+    open_ = stored(left.join(split, "shingle"))
+    signs.remove()
+
+    side = lambda c: open_.df.filter(F.col("c") <= FEW).select("shingle", F.col("key").alias(c), F.col("n").alias(f"n{c}"), F.col("root").alias(f"r{c}"))
     apart = side("a").join(side("b"), "shingle").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")))
-    more = met(apart).join(tried, ["a", "b"], "left_anti")
-    more = compared(durable(more))
-    comps = components(edges.unionByName(more)).withColumnRenamed("node", "key")
-    return rows.join(comps, "key", "left").select("id", F.coalesce("root", "key").alias("root"), *keep)
+    more = durable(met(apart).join(tried, ["a", "b"], "left_anti"))
+    edges = edges.unionByName(compared(more))
+
+    many = open_.df.filter(F.col("c") > FEW)
+    cells = components(many.filter("low < key").select(F.col("low").alias("a"), F.col("key").alias("b"))).toDF("key", "cell")
+    members = durable(many.groupBy("key").agg(F.min("root").alias("root"), F.min("n").alias("n")).join(cells, "key"))
+    open_.remove()
+    parts = members.groupBy("cell").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("parts"))
+    at = members.join(parts, "cell").withColumn("p", F.pmod(F.xxhash64("key"), F.col("parts")))
+    others = F.when(F.col("parts") == 1, F.array(F.lit(0).cast("long"))).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda q: q != F.col("p")))
+    meets = at.select("key", "root", "cell", "p", F.explode(others).alias("q")).select("key", "root", F.xxhash64("cell", F.least("p", "q"), F.greatest("p", "q")).alias("cell"))
+    sets = sets_of(members.select("key"))
+    held = meets.join(sets.df, "key").select("cell", "key", "root", "shingles").repartition("cell").sortWithinPartitions("cell", "key")
+    edges = edges.unionByName(durable(map_batches(held, _blocks, "a long, b long")))
+    sets.remove()
+    comps = components(edges).withColumnRenamed("node", "key")
+    return rows.join(comps, "key", "left").select("id", F.coalesce("root", "key").alias("root"), *(F.col(k).alias(name) for k, name in zip(own, keep, strict=True)))
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, without all but one of each group of ``similar_groups``: the one of the smallest id stays.
 
-    Of rows that share id and text one stays; a group whose rows all lack an id keeps one of them.
+    Of rows that share id and text one stays; a group whose rows all lack an id keeps one of them. Null and wordless
+    texts are one group; very long texts are compared whole; columns may have any names; an empty table gives an empty
+    result. Only rows of groups of several rows, and the few that share their place in a filter of fixed size, are shuffled.
     """
-    key, row, lacks = "_text_key", "_row_id", "_lacks_id"
-    keyed = df.withColumn(key, F.xxhash64(text_col))
-    found = similar_groups(keyed, id_col, text_col, (key,))
-    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", key)).alias("s"))
-    on = [row, lacks, key]  # one shuffle of the texts serves the join and the rows that are the same
-    own_id = F.col(id_col).cast("long")
-    stays = first.select(F.coalesce("s.id", F.lit(0)).alias(row), F.col("s.id").isNull().alias(lacks), F.col(f"s.{key}").alias(key))
-    kept = keyed.withColumns({row: F.coalesce(own_id, F.lit(0)), lacks: own_id.isNull()}).join(stays, on, "left_semi")
-    return kept.dropDuplicates([*on, id_col]).select(*df.columns)
+    names = df.columns
+    plain = df.select(F.struct(*names).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("k"))
+    found = durable(similar_groups(plain, "id", "text", ("k",)))
+    several = found.groupBy("root").agg(F.count("*").alias("c"), F.min(F.struct(F.col("id").isNull(), "id", "k")).alias("s")).filter("c > 1")
+    several = durable(several)
+    stays = several.select(F.coalesce("s.id", F.lit(0)).alias("row_id"), F.col("s.id").isNull().alias("lacks_id"), F.col("s.k").alias("k"))
+    bits = filter_bits(found.join(several, "root", "left_semi").select("k"))
+    table = df.sparkSession.createDataFrame([(i, bytes(bits[i * 4096 : i * 4096 + 4096])) for i in range(len(bits) // 4096)], "piece long, bits binary")  # 512 KB
+    slot = F.pmod(F.col("k"), F.lit(1 << ASKED_BITS))
+    asked = F.expr(f"shiftright(cast(conv(hex(substring(bits, cast(pmod(k, {1 << ASKED_BITS}) % 32768 div 8 as int) + 1, 1)), 16, 10) as int), cast(pmod(k, 8) as int)) & 1")
+    marked = plain.withColumn("piece", F.floor(slot / 32768)).join(F.broadcast(table), "piece").withColumn("asked", asked)
+    alone = marked.filter("asked = 0").select("row.*")
+    others = marked.filter("asked = 1").select("row", F.coalesce("id", F.lit(0)).alias("row_id"), F.col("id").isNull().alias("lacks_id"), "k")
+    whole = found.join(several, "root", "left_anti").select(F.coalesce("id", F.lit(0)).alias("row_id"), F.col("id").isNull().alias("lacks_id"), "k")
+    return alone.unionByName(others.join(stays.unionByName(whole), ["row_id", "lacks_id", "k"], "left_semi").dropDuplicates(["row_id", "lacks_id", "k"]).select("row.*"))

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 from matchloom.llm import quality, queries, secrets
 from tests.llm.test_decontaminate import brute as brute_matches
 from tests.llm.test_packing import check_sequences
-from tests.llm.test_simhash import brute_fingerprint, brute_groups
+from tests.llm.test_simhash import similar_roots
 
 
 def test_stages_against_brute_force(spark, small):
@@ -28,11 +28,9 @@ def test_stages_against_brute_force(spark, small):
     assert {r["doc_id"]: r for r in df.collect()} == rows and 0 < len(rows) < docs.count()
 
     df = stages[1](spark, df, small)
-    fps = {i: brute_fingerprint(r["text"]) for i, r in rows.items()}
-    root, low = brute_groups(fps.values()), {}
-    for i, f in fps.items():
-        low[root[f]] = min(i, low.get(root[f], i))
-    rows = {i: rows[i] for i in low.values()}
+    root = similar_roots({i: r["text"] for i, r in rows.items()})
+    assert 0 < len(set(root.values())) < len(rows)
+    rows = {i: rows[i] for i in set(root.values())}
     assert {r["doc_id"]: r for r in df.collect()} == rows
 
     df = stages[2](spark, df, small)

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -116,7 +117,11 @@ def similar_roots(texts):
     return root
 
 
-def test_one_of_each_against_jaccard(spark):
+@pytest.mark.parametrize(("few", "block"), [(simhash.FEW, simhash.BLOCK_SHINGLES), (2, 500_000), (2, 400)])
+def test_one_of_each_against_jaccard(spark, monkeypatch, few, block):
+    """With the settings, with all larger groups in blocks, and with many small blocks."""
+    monkeypatch.setattr(simhash, "FEW", few)
+    monkeypatch.setattr(simhash, "BLOCK_SHINGLES", block)
     rng = random.Random(11)
     texts, common = {}, " ".join(f"c{i}" for i in range(12))
     for _ in range(12):  # copies with a few words changed, on both sides of the limit and in chains
@@ -130,3 +135,10 @@ def test_one_of_each_against_jaccard(spark):
     assert far and len(set(root.values())) > 20
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert sorted(r["doc_id"] for r in simhash.one_of_each(df).collect()) == sorted(set(root.values()))
+
+
+def test_columns_of_any_name(spark):
+    clash = ["_text_key", "_set_text", "_stays", "_row_id", "row", "k", "k0", "id", "bits", "piece", "asked", "root", "key", "n", "fp", "s"]
+    rows = [(i, t, *[f"{c}{i}" for c in clash]) for i, t in enumerate(["one two three four five six", "one two three four five six", "other words stand here", None, ""])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in clash))
+    assert sorted(simhash.one_of_each(df).collect()) == sorted(r for r in df.collect() if r["doc_id"] in (0, 2, 3))
