@@ -285,9 +285,7 @@ def common_shingles(df: DataFrame, text_col: str = "text") -> Common:
                 for own in _sets(texts):
                     total += len(own)
                     for c, slot in zip(counts, _counters(own), strict=True):
-                        c += np.bincount(slot, minlength=len(c)).astype(np.int32) if len(own) > 1 << 16 else 0
-                        if len(own) <= 1 << 16:
-                            np.add.at(c, slot, 1)
+                        np.add.at(c, slot, 1)
         found = [np.flatnonzero(c > 1) for c in counts]  # one alone says little, and most are alone
         yield pa.record_batch([pa.array(np.concatenate([[-1], found[0], found[1] + (1 << SLOT_BITS)])), pa.array(np.concatenate([[total], counts[0][found[0]], counts[1][found[1]]]).astype(np.int64))], ["slot", "n"])
 
@@ -359,18 +357,29 @@ def least_prefix(n: int) -> int:
 
 def shingle_sets(df: DataFrame, text_key: str, text_col: str, asked: DataFrame) -> DataFrame:
     """(key, shingles) of the sets of the texts whose keys are ``asked``, and of a few more texts: no text is shuffled. Sets may come again, from other tasks."""
-    bits = filter_bits(asked.select(F.col(text_key).alias("k")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            at = batch.column(0).to_numpy() & (1 << ASKED_BITS) - 1
-            for _, texts in slices(batch.filter(pa.array(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1))):
+            for _, texts in slices(batch):
                 own = {k: x for x in _sets(texts) if (k := _set_key(x)) not in seen}
                 seen.update(own)
-                yield pa.record_batch([pa.array(list(own), pa.int64()), pa.array([x.view(np.int64) for x in own.values()], pa.list_(pa.int64()))], ["key", "shingles"])
+                ends = np.cumsum([0, *(len(x) for x in own.values())])
+                flat = np.concatenate([np.zeros(0, np.uint64), *own.values()]).view(np.int64)
+                yield pa.record_batch([pa.array(list(own), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["key", "shingles"])
+
+    texts = df.select(F.col(text_key).alias("k"), F.col(text_col).alias("text"))
+    return map_batches(id_text(passing(texts, asked.select(F.col(text_key).alias("k")))[0], "k", "text"), run, "key long, shingles array<long>")
 
-    return map_batches(id_text(df, text_key, text_col), run, "key long, shingles array<long>")
+
+def passing(df: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` that a filter of fixed size over ``keys`` (k) lets through, which are all whose k is among them and a few more; and the others."""
+    bits = filter_bits(keys)
+    table = df.sparkSession.createDataFrame([(i, bytes(bits[i * 4096 : i * 4096 + 4096])) for i in range(len(bits) // 4096)], "piece long, bits binary")  # 512 KB
+    names = df.columns
+    asked = F.expr(f"shiftright(cast(conv(hex(substring(bits, cast(pmod(k, {1 << ASKED_BITS}) % 32768 div 8 as int) + 1, 1)), 16, 10) as int), cast(pmod(k, 8) as int)) & 1")
+    marked = df.withColumn("piece", F.floor(F.pmod(F.col("k"), F.lit(1 << ASKED_BITS)) / 32768)).join(F.broadcast(table), "piece").withColumn("asked", asked)
+    return marked.filter("asked = 1").select(*names), marked.filter("asked = 0").select(*names)
 
 
 def filter_bits(keys: DataFrame) -> np.ndarray:
@@ -533,12 +542,7 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     several = found.groupBy("root").agg(F.count("*").alias("c"), F.min(F.struct(F.col("id").isNull(), "id", "k")).alias("s")).filter("c > 1")
     several = durable(several)
     stays = several.select(F.coalesce("s.id", F.lit(0)).alias("row_id"), F.col("s.id").isNull().alias("lacks_id"), F.col("s.k").alias("k"))
-    bits = filter_bits(found.join(several, "root", "left_semi").select("k"))
-    table = df.sparkSession.createDataFrame([(i, bytes(bits[i * 4096 : i * 4096 + 4096])) for i in range(len(bits) // 4096)], "piece long, bits binary")  # 512 KB
-    slot = F.pmod(F.col("k"), F.lit(1 << ASKED_BITS))
-    asked = F.expr(f"shiftright(cast(conv(hex(substring(bits, cast(pmod(k, {1 << ASKED_BITS}) % 32768 div 8 as int) + 1, 1)), 16, 10) as int), cast(pmod(k, 8) as int)) & 1")
-    marked = plain.withColumn("piece", F.floor(slot / 32768)).join(F.broadcast(table), "piece").withColumn("asked", asked)
-    alone = marked.filter("asked = 0").select("row.*")
-    others = marked.filter("asked = 1").select("row", F.coalesce("id", F.lit(0)).alias("row_id"), F.col("id").isNull().alias("lacks_id"), "k")
+    met, alone = passing(plain, found.join(several, "root", "left_semi").select("k"))
+    others = met.select("row", F.coalesce("id", F.lit(0)).alias("row_id"), F.col("id").isNull().alias("lacks_id"), "k")
     whole = found.join(several, "root", "left_anti").select(F.coalesce("id", F.lit(0)).alias("row_id"), F.col("id").isNull().alias("lacks_id"), "k")
-    return alone.unionByName(others.join(stays.unionByName(whole), ["row_id", "lacks_id", "k"], "left_semi").dropDuplicates(["row_id", "lacks_id", "k"]).select("row.*"))
+    return alone.select("row.*").unionByName(others.join(stays.unionByName(whole), ["row_id", "lacks_id", "k"], "left_semi").dropDuplicates(["row_id", "lacks_id", "k"]).select("row.*"))
