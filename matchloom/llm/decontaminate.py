@@ -1,25 +1,30 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
-The index is partitioned by document: each step of a task turns its documents into posting lists, one
-ascending list of word positions for every term that the benchmark uses. A phrase (a window of
-consecutive benchmark words) is found by intersecting the lists of its terms, shifted by their places in
-the phrase, from the rarest term on; proximity matches look up the nearest postings of an item's rarest
-terms, which are chosen once, by counts over all documents. Lists never leave their task, so a frequent word or a passage that a third of all documents share
-costs no shuffle and no large group.
-
-The benchmark is the stated query set. It is sent to the tasks in blocks of at most ``BLOCK_BYTES`` of
-text; a larger benchmark takes several passes, each adding its matches to those of the pass before.
+``index`` stores the postings of all documents as a table of segments in the checkpoint folder: a segment
+holds the terms of about ``STEP_BYTES`` of text and, for each, the ascending list of its word positions. A
+document lies in one segment, so lists of a frequent word, or of a passage that a third of all documents
+share, are many short ones, and no posting is shuffled.
+
+A phrase (a window of consecutive benchmark words) is found by intersecting the lists of its terms,
+shifted by their places in the phrase, from the rarest term of the segment on; proximity matches look up the nearest postings of
+an item's rarest terms, which are chosen once, by counts over all documents.
+
+The benchmark is the stated query set. It is read in blocks of at most about ``BLOCK_BYTES`` of text; a larger benchmark
+takes several passes over the stored index, never over the texts, and each pass stores its matches. The driver holds one block at a time.
 """
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import ALNUM, durable, id_text, map_batches, slices, with_fields
+from matchloom.functions.durable import stored
+from matchloom.llm.common import ALNUM, durable, id_text, map_batches, passing, slices
 
 WINDOW, NEAR_TERMS, SLOP = 10, 4, 15
 BLOCK_BYTES, STEP_BYTES = 8 << 20, 16 << 20
@@ -63,25 +68,34 @@ class Phrases:
                 self.near.append((item, rare, len(rare) if len(rare) <= self.near_terms else -(-3 * len(rare) // 4), max(slop, size + size // 2)))
 
 
+def segment(texts: list[bytes | None]) -> tuple[bytes, bytes, bytes, bytes]:
+    """Words of each document, terms, postings of each term, and the positions, as they are stored; a gap follows every document."""
+    number: dict[bytes, int] = defaultdict(count().__next__)
+    split = [np.fromiter(map(number.__getitem__, words_of(t)), np.int32) if t else np.zeros(0, np.int32) for t in texts]
+    sizes = np.array([len(x) for x in split], np.uint32)
+    flat = np.concatenate([np.zeros(0, np.int32), *split])
+    at = np.arange(len(flat)) + np.repeat(np.arange(len(sizes)), sizes)
+    places = at[np.argsort(flat, kind="stable")].astype(np.uint32)
+    steps = np.diff(places, prepend=np.uint32(0))  # modulo 2 ** 32 where the next list begins
+    return sizes.tobytes(), b" ".join(number), np.bincount(flat, minlength=len(number)).astype(np.uint32).tobytes(), steps.view(np.uint8).reshape(-1, 4).T.tobytes()  # small steps: planes of zeros
+
+
 class Postings:
-    """Positional posting lists of a run of documents, for the terms of ``phrases``."""
-
-    def __init__(self, texts: list[bytes | None], terms: dict[bytes, int]):
-        get, kind = terms.get, np.int16 if len(terms) < 1 << 15 else np.int32
-        split = [np.array([get(w, -1) for w in words_of(t)], kind) if t else np.zeros(0, kind) for t in texts]
-        self.sizes = np.array([len(x) for x in split], np.int64)
-        gap = np.full(1, -1, kind)  # no phrase runs from one document into the next
-        flat = np.concatenate([y for x in split for y in (x, gap)]) if split else gap
+    """Positional posting lists of a stored segment, for the terms of a block of the benchmark."""
+
+    def __init__(self, sizes: bytes, terms: bytes, counts: bytes, places: bytes, wanted: dict[bytes, int]):
+        self.sizes = np.frombuffer(sizes, np.uint32).astype(np.int64)
         self.starts = np.cumsum(self.sizes + 1) - self.sizes - 1
-        self.length = len(flat)
-        places = np.flatnonzero(flat >= 0)
-        own = flat[places]
-        self.places = places[np.argsort(own, kind="stable")]
-        self.counts = np.bincount(own, minlength=max(1, len(terms)))
-        self.ends = np.cumsum(self.counts)
+        self.length = int((self.sizes + 1).sum())
+        own, self.counts = term_counts(terms, counts, wanted)
+        ends = np.cumsum(np.frombuffer(counts, np.uint32).astype(np.int64))
+        self.ends = np.zeros(len(own), np.int64)
+        self.ends[own >= 0] = ends[own[own >= 0]]
+        planes = np.frombuffer(places, np.uint8).reshape(4, -1)
+        self.places = np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32)
 
     def of(self, term: int) -> np.ndarray:
-        return self.places[self.ends[term] - self.counts[term] : self.ends[term]]
+        return self.places[self.ends[term] - self.counts[term] : self.ends[term]].astype(np.int64)
 
     def phrase(self, terms: np.ndarray) -> np.ndarray:
         """Places where ``terms`` stand in a row."""
@@ -111,12 +125,20 @@ class Postings:
         return at[n >= least]
 
 
-def search(texts: list[bytes | None], phrases: Phrases) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[set[int]], list[set[int]]]:
-    """Per document: number of words, merged spans of words that phrases cover, items with a phrase, items nearby."""
-    index = Postings(texts, phrases.terms)
+def term_counts(terms: bytes, counts: bytes, wanted: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """For every wanted term, its number in a segment (-1: not there) and its postings."""
+    own = np.full(max(1, len(wanted)), -1, np.int64)
+    for k, t in enumerate(terms.split(b" ") if terms else ()):
+        if (w := wanted.get(t)) is not None:
+            own[w] = k
+    return own, np.where(own >= 0, np.append(np.frombuffer(counts, np.uint32).astype(np.int64), 0)[own], 0)
+
+
+def search(index: Postings, phrases: Phrases) -> tuple[list[list[tuple[int, int]]], list[set[int]], list[set[int]]]:
+    """Per document of a segment: merged spans of words that phrases cover, items with a phrase, items nearby."""
     edges = np.zeros(index.length + 1, np.int32)
-    exact: list[set[int]] = [set() for _ in texts]
-    near: list[set[int]] = [set() for _ in texts]
+    exact: list[set[int]] = [set() for _ in index.sizes]
+    near: list[set[int]] = [set() for _ in index.sizes]
     for n, windows in phrases.windows.items():
         for w in np.flatnonzero(index.counts[windows].min(axis=1) > 0):
             if len(at := index.phrase(windows[w])):
@@ -131,85 +153,112 @@ def search(texts: list[bytes | None], phrases: Phrases) -> tuple[np.ndarray, lis
     covered = np.concatenate([[0], (np.cumsum(edges[:-1]) > 0).astype(np.int8), [0]])
     turns = np.diff(covered)
     begins, ends = np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
-    spans: list[list[tuple[int, int]]] = [[] for _ in texts]
+    spans: list[list[tuple[int, int]]] = [[] for _ in index.sizes]
     for d, a, b in zip(np.searchsorted(index.starts, begins, side="right") - 1, begins, ends, strict=True):
         spans[d].append((int(a - index.starts[d]), int(b - index.starts[d])))
-    return index.sizes, spans, exact, near
+    return spans, exact, near
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+HITS = "row long, spans array<struct<start:long,end:long>>, items array<string>, near_items array<string>"
+SEGMENT = "first long, ids array<long>, sizes binary, terms binary, counts binary, places binary"
 
 
-SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-FOUND = "n_words long, spans array<struct<start:long,end:long>>, items array<string>, near_items array<string>"
+def index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", step_bytes: int = STEP_BYTES) -> DataFrame:
+    """The positional index of ``df``, one row a segment; rows of ``df`` have the numbers from ``first`` on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 36
+        for batch in batches:
+            for ids, texts in slices(batch, step_bytes):
+                yield pa.record_batch([pa.array([first]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *(pa.array([x], pa.binary()) for x in segment(texts))], ["first", "ids", "sizes", "terms", "counts", "places"])
+                first += len(ids)
+
+    return map_batches(id_text(df, id_col, text_col), run, SEGMENT)
+
 
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first, ids, sizes in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+            yield pa.record_batch([first + np.arange(len(ids.values)), ids.values, np.frombuffer(sizes, np.uint32).astype(np.int64)], ["row", "id", "n_words"])
 
-def matches(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = SLOP, keep: tuple[str, ...] = (), id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(id, n_words, spans, items, near_items[, the columns of ``keep``]) for every row of ``df``.
+
+def found_in(segments: DataFrame, phrases: Phrases, slop: int) -> DataFrame:
+    """The rows that hold something of a block of the benchmark."""
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(max(1, len(phrases.terms)), np.int64)
+        for batch in batches:
+            for terms, many in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                n += term_counts(terms, many, phrases.terms)[1]
+        found = np.flatnonzero(n)
+        yield pa.record_batch([pa.array(found), pa.array(n[found])], ["term", "n"])
+
+    total = np.zeros(max(1, len(phrases.terms)), np.int64)
+    for term, n in map_batches(segments.select("terms", "counts"), counts, "term long, n long").groupBy("term").agg(F.sum("n")).collect():  # terms of the block
+        total[term] = n
+    phrases.choose(total, slop)
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = phrases.names
+        for batch in batches:
+            for i in range(batch.num_rows):  # a segment at a time
+                first, *stored = (c[i].as_py() for c in batch.columns)
+                spans, exact, near = search(Postings(*stored, phrases.terms), phrases)
+                hit = [k for k, x in enumerate(near) if x]
+                lists = [pa.array([sorted(names[n] for n in found[k]) for k in hit], pa.list_(pa.string())) for found in (exact, near)]
+                yield pa.record_batch([pa.array([first + k for k in hit], pa.int64()), pa.array([[{"start": a, "end": b} for a, b in spans[k]] for k in hit], SPANS), *lists], ["row", "spans", "items", "near_items"])
+
+    return map_batches(segments.select("first", "sizes", "terms", "counts", "places"), hits, HITS)
+
+
+def matches(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = SLOP, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(id, n_words, spans, items, near_items) for every row of ``df``.
 
     spans are the stretches [start, end) of words covered by some benchmark window, items the ids (as
     text, sorted) of benchmark items with a window that occurs, near_items those, and
     the items most of whose rarest terms (all, of up to ``NEAR_TERMS``) stand within ``slop`` words, or one and a half times
     the item's length (a hint for paraphrases, which decides nothing). An item of
     fewer words than a window is one window; one without words matches nothing; null texts have no
-    words; a null item id is written "null"; rows repeated under one id are rows of their own; empty
-    tables give empty results or no matches; other columns are ignored unless named in ``keep``.
+    words; a null item id is written "null"; rows repeated under one id are rows of their own; very long texts are a segment of
+    their own; empty tables give empty results or no matches; other columns are ignored.
     """
+    segments = stored(index(df, id_col, text_col)).df
     items = durable(benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")).distinct())
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-
-    def block(b: int) -> Phrases:
-        part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
-        return counted(Phrases(sorted((r[0], bytes(r[1])) for r in part.collect()), window))  # about block_bytes
-
-    def counted(phrases: Phrases) -> Phrases:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            n = np.zeros(max(1, len(phrases.terms)), np.int64)
-            for batch in batches:
-                for _, texts in slices(batch, STEP_BYTES):
-                    n += Postings(texts, phrases.terms).counts
-            found = np.flatnonzero(n)
-            yield pa.record_batch([pa.array(found), pa.array(n[found])], ["term", "n"])
-
-        counts = np.zeros(max(1, len(phrases.terms)), np.int64)
-        for term, n in map_batches(id_text(df, id_col, text_col), run, "term long, n long").groupBy("term").agg(F.sum("n")).collect():  # benchmark terms
-            counts[term] = n
-        phrases.choose(counts, slop)
-        return phrases
-
-    def step(phrases: Phrases, first: bool, last: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            names = phrases.names
-            for batch in batches:
-                done = 0
-                for ids, texts in slices(batch, STEP_BYTES):
-                    sizes, spans, exact, near = search(texts, phrases)
-                    rest = [c.slice(done, len(ids)) for c in batch.columns[1:]]
-                    done += len(ids)
-                    lists = [[[names[k] for k in x] for x in found] for found in (exact, near)]
-                    if not first:
-                        before = [c.to_pylist() for c in rest[2:5]]
-                        spans = [merged(a + [(x["start"], x["end"]) for x in b]) for a, b in zip(spans, before[0], strict=True)]
-                        lists = [[a + b for a, b in zip(x, y, strict=True)] for x, y in zip(lists, before[1:], strict=True)]
-                    own = [pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], SPANS), *(pa.array([sorted(set(x)) for x in found], pa.list_(pa.string())) for found in lists)]
-                    yield pa.record_batch([ids, *([] if last else [rest[0]]), pa.array(sizes), *own, *(rest[1:] if first else rest[5:])], ["id", *([] if last else ["text"]), "n_words", "spans", "items", "near_items", *keep])
-
-        return run
-
-    out = id_text(df, id_col, text_col, keep)
-    kept = out.schema.fields[2:]
+    hits = None
     for b in range(blocks):
-        last = b == blocks - 1
-        out = map_batches(out, step(block(b), b == 0, last), with_fields(f"id long, {'' if last else 'text binary, '}{FOUND}", kept))
-    return out
+        part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
+        phrases = Phrases(sorted((r[0], bytes(r[1])) for r in part.collect()), window)  # about block_bytes
+        own = durable(found_in(segments, phrases, slop))
+        hits = own if hits is None else hits.unionByName(own)
+    if blocks > 1:
+        listed = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+        hits = hits.groupBy("row").agg(listed("spans"), listed("items"), listed("near_items")).withColumn("spans", _joined(F.col("spans")))
+    rows = map_batches(segments.select("first", "ids", "sizes"), _documents, "row long, id long, n_words long")
+    none = lambda c: F.coalesce(F.col(c), F.array().cast(dict(hits.dtypes)[c])).alias(c)
+    return rows.join(hits, "row", "left").select("id", "n_words", none("spans"), none("items"), none("near_items"))
+
+
+def without_matches(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns, whose texts hold no window of ``benchmark``.
+
+    Null, empty and wordless texts stay; very long ones are searched whole; of repeated rows all stay or all go; columns may have any
+    names; an empty table gives an empty result. Only rows that go, and the few that share their place in a filter of fixed size, are shuffled.
+    """
+    rows = df.select(F.struct(*df.columns).alias("row"), F.xxhash64(text_col).alias("k"), F.col(text_col).alias("text"))
+    dirty = durable(matches(rows, benchmark, window, id_col="k").filter(F.size("spans") > 0).select(F.col("id").alias("k")).distinct())
+    met, clean = passing(rows.select("row", "k"), dirty)
+    return clean.select("row.*").unionByName(met.join(dirty, "k", "left_anti").select("row.*"))
+
+
+def _joined(spans: Column) -> Column:
+    """Spans in order, those that touch or overlap made one."""
+    last = lambda done: F.element_at(done, -1)
+    more = lambda done, s: F.struct(last(done)["start"].alias("start"), F.greatest(last(done)["end"], s["end"]).alias("end"))
+    add = lambda done, s: F.when(F.coalesce(F.try_element_at(done, F.lit(-1))["end"] >= s["start"], F.lit(False)), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(more(done, s)))).otherwise(F.concat(done, F.array(s)))
+    return F.aggregate(spans, F.array().cast("array<struct<start:bigint,end:bigint>>"), add)
 
 
 def covered_words(spans: Column) -> Column:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchloom.functions.durable import Stored, stored
-from matchloom.llm.common import LOWER, durable, id_text, map_batches, slices, with_fields
+from matchloom.llm.common import LOWER, durable, id_text, map_batches, passing, slices, with_fields
 
 WORDS, RADIUS, BANDS, PIVOTS, BUCKET, FEW_BITS = 3, 3, 5, 24, 2048, 11
 #: Low bit of each byte: eight bit counters in one 64-bit number.
@@ -49,8 +49,6 @@ SIMILAR_WORDS, SIMILAR = 5, (4, 5)
 COUNTED, SLOT_BITS = 8, 22
 #: Sets that share a prefix shingle and are compared in pairs; beyond, they meet in blocks of about two times so many shingles.
 FEW, BLOCK_SHINGLES = 64, 500_000
-#: Bits of the filter that picks the texts whose sets a step compares; it may let others through.
-ASKED_BITS = 22
 
 
 def shingle_hashes(text: bytes, n: int = WORDS) -> list[int]:
@@ -372,25 +370,6 @@ def shingle_sets(df: DataFrame, text_key: str, text_col: str, asked: DataFrame)
     return map_batches(id_text(passing(texts, asked.select(F.col(text_key).alias("k")))[0], "k", "text"), run, "key long, shingles array<long>")
 
 
-def passing(df: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``df`` that a filter of fixed size over ``keys`` (k) lets through, which are all whose k is among them and a few more; and the others."""
-    bits = filter_bits(keys)
-    table = df.sparkSession.createDataFrame([(i, bytes(bits[i * 4096 : i * 4096 + 4096])) for i in range(len(bits) // 4096)], "piece long, bits binary")  # 512 KB
-    names = df.columns
-    asked = F.expr(f"shiftright(cast(conv(hex(substring(bits, cast(pmod(k, {1 << ASKED_BITS}) % 32768 div 8 as int) + 1, 1)), 16, 10) as int), cast(pmod(k, 8) as int)) & 1")
-    marked = df.withColumn("piece", F.floor(F.pmod(F.col("k"), F.lit(1 << ASKED_BITS)) / 32768)).join(F.broadcast(table), "piece").withColumn("asked", asked)
-    return marked.filter("asked = 1").select(*names), marked.filter("asked = 0").select(*names)
-
-
-def filter_bits(keys: DataFrame) -> np.ndarray:
-    """A filter of fixed size over ``keys`` (k): the bits of their last ``ASKED_BITS`` bits."""
-    slot = F.pmod(F.col("k"), F.lit(1 << ASKED_BITS))
-    bits = np.zeros((1 << ASKED_BITS) // 8, np.uint8)
-    for piece, own in keys.groupBy(F.floor(slot / 32768)).agg(F.bitmap_construct_agg(slot % 32768)).collect():  # in pieces of 4 KB
-        bits[piece * 4096 : piece * 4096 + 4096] = np.frombuffer(bytes(own), np.uint8)
-    return bits
-
-
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar enough."""
     side = lambda c: sets.select(F.col("key").alias(c), F.col("shingles").alias(f"s{c}"))
