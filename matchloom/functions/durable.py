@@ -41,4 +41,5 @@ def stored(df: DataFrame) -> Stored:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4()}"
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()  # Spark deletes the shuffle files of finished plans when the driver collects their handles
     return Stored(spark.read.schema(df.schema).parquet(path), path)
