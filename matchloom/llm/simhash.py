@@ -35,7 +35,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from matchloom.functions.durable import Stored, stored
 from matchloom.llm.common import LOWER, durable, id_text, map_batches, passing, slices, with_fields
@@ -49,6 +48,8 @@ SIMILAR_WORDS, SIMILAR = 5, (4, 5)
 COUNTED, SLOT_BITS = 8, 22
 #: Sets that share a prefix shingle and are compared in pairs; beyond, they meet in blocks of about two times so many shingles.
 FEW, BLOCK_SHINGLES = 64, 500_000
+#: Places of a sketch for each shingle, at least.
+SKETCH = 4
 
 
 def shingle_hashes(text: bytes, n: int = WORDS) -> list[int]:
@@ -307,7 +308,7 @@ def _set_key(own: np.ndarray) -> int:
 
 
 def keyed_sets(df: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
-    """(id, fp, key, n, the columns of ``keep``): fingerprint, key and size of the set of shingles."""
+    """(id, fp, key, n, t, the columns of ``keep`` as k0, k1 ...): fingerprint, key and size of the set of shingles, and a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,11 +319,10 @@ def keyed_sets(df: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...])
                 own = [np.unique(x) for x in hashed]
                 rest = [c.slice(done, len(ids)) for c in batch.columns[2:]]
                 done += len(ids)
-                yield pa.record_batch([ids, pa.array(fp.view(np.int64)), pa.array([_set_key(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), *rest], ["id", "fp", "key", "n", *(f"k{i}" for i in range(len(keep)))])
+                yield pa.record_batch([ids, pa.array(fp.view(np.int64)), pa.array([_set_key(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), *rest], ["id", "fp", "key", "n", "t", *(f"k{i}" for i in range(len(keep)))])
 
-    own = id_text(df, id_col, text_col, keep)
-    fields = [T.StructField(f"k{i}", f.dataType, f.nullable) for i, f in enumerate(own.schema.fields[2:])]
-    return map_batches(own, run, with_fields("id long, fp long, key long, n long", fields))
+    own = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"), F.xxhash64(text_col).alias("t"), *(F.col(k).alias(f"k{i}") for i, k in enumerate(keep)))
+    return map_batches(own, run, with_fields("id long, fp long, key long, n long", own.schema.fields[2:]))
 
 
 def prefixes(df: DataFrame, common: Common, text_col: str) -> DataFrame:
@@ -353,8 +353,8 @@ def least_prefix(n: int) -> int:
     return n + -(SIMILAR[0] * n) // SIMILAR[1] + 1 if n else 0
 
 
-def shingle_sets(df: DataFrame, text_key: str, text_col: str, asked: DataFrame) -> DataFrame:
-    """(key, shingles) of the sets of the texts whose keys are ``asked``, and of a few more texts: no text is shuffled. Sets may come again, from other tasks."""
+def shingle_sets(df: DataFrame, text_col: str, asked: DataFrame, sketched: bool = False) -> DataFrame:
+    """(key, shingles), or (key, n, sketch), of the sets of the texts whose keys are ``asked`` (k), and of a few more texts: no text is shuffled. Sets may come again, from other tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -362,12 +362,45 @@ def shingle_sets(df: DataFrame, text_key: str, text_col: str, asked: DataFrame)
             for _, texts in slices(batch):
                 own = {k: x for x in _sets(texts) if (k := _set_key(x)) not in seen}
                 seen.update(own)
-                ends = np.cumsum([0, *(len(x) for x in own.values())])
-                flat = np.concatenate([np.zeros(0, np.uint64), *own.values()]).view(np.int64)
-                yield pa.record_batch([pa.array(list(own), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["key", "shingles"])
+                keys, many = pa.array(list(own), pa.int64()), [len(x) for x in own.values()]
+                if sketched:
+                    yield pa.record_batch([keys, pa.array(many, pa.int64()), pa.array([sketch(x) for x in own.values()], pa.binary())], ["key", "n", "sketch"])
+                else:
+                    flat = np.concatenate([np.zeros(0, np.uint64), *own.values()]).view(np.int64)
+                    yield pa.record_batch([keys, pa.ListArray.from_arrays(pa.array(np.cumsum([0, *many]), pa.int32()), pa.array(flat))], ["key", "shingles"])
+
+    texts = passing(df.select(F.xxhash64(text_col).alias("k"), F.col(text_col).alias("text")), asked)[0]
+    return map_batches(id_text(texts, "k", "text"), run, "key long, n long, sketch binary" if sketched else "key long, shingles array<long>")
+
+
+def sketch(own: np.ndarray) -> bytes:
+    """Which of at least ``SKETCH`` times as many places, a power of two, the shingles of a set take."""
+    size = 1 << max(6, (SKETCH * len(own) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(own & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
+def most_shared(na: int, a: bytes, nb: int, b: bytes) -> int:
+    """No less than the shingles that two sets share: a place that only one of them takes holds a shingle that the other lacks."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_or.reduce(v.reshape(-1, size)) for v in (x, y))
+    return min(na - int(np.bitwise_count(x & ~y).sum()), nb - int(np.bitwise_count(y & ~x).sum()))
+
+
+def sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that their sketches don't rule out."""
+    side = lambda c: sets.select(F.col("key").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)
+            may = [SIMILAR[1] * (m := most_shared(na, a, nb, b)) >= SIMILAR[0] * (na + nb - m) for na, a, nb, b in rows]
+            yield batch.select([0, 1]).filter(pa.array(may, pa.bool_()))
 
-    texts = df.select(F.col(text_key).alias("k"), F.col(text_col).alias("text"))
-    return map_batches(id_text(passing(texts, asked.select(F.col(text_key).alias("k")))[0], "k", "text"), run, "key long, shingles array<long>")
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "sa", "nb", "sb")
+    return map_batches(joined, run, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -441,14 +474,9 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     3. Sets that share a more frequent prefix shingle, and which step 1 leaves in different groups, meet in blocks of bounded size;
        a block returns spanning links.
     """
-    text_key = "_set_text"
-    while text_key in df.columns:
-        text_key += "_"
-    keyed = df.withColumn(text_key, F.xxhash64(text_col))
-    own = tuple(f"k{i + 1}" for i in range(len(keep)))
-    rows = durable(keyed_sets(keyed, id_col, text_col, (text_key, *keep)))
-    nodes = durable(rows.groupBy("key").agg(F.min(F.struct("n", "fp", "k0")).alias("s")).select("key", "s.n", "s.fp", F.col("s.k0").alias("t")))
-    text_keys = rows.select("key", F.col("k0").alias(text_key))
+    own = tuple(f"k{i}" for i in range(len(keep)))
+    rows = durable(keyed_sets(df, id_col, text_col, keep))
+    nodes = durable(rows.groupBy("key").agg(F.min(F.struct("n", "fp", "t")).alias("s")).select("key", "s.n", "s.fp", "s.t"))
     entries = prefixes(df, common_shingles(df, text_col), text_col).repartition("shingle")
     least = entries.groupBy("shingle").agg(F.min(F.struct("key", "n")).alias("low"), F.max("key").alias("high")).filter("low.key < high")
     signs = stored(entries.join(least, "shingle").select("shingle", "key", "n", F.col("low.key").alias("low"), F.col("low.n").alias("low_n")).distinct())
@@ -462,15 +490,15 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         found = fit(d).groupBy("a", "b").agg(F.count("*").alias("hits"), F.first("na").alias("na"), F.first("nb").alias("nb"))
         return found.filter(sum(SIMILAR) * (F.col("hits") + F.greatest(behind("na"), behind("nb"))) >= SIMILAR[0] * (F.col("na") + F.col("nb"))).select("a", "b")
 
-    def sets_of(keys: DataFrame) -> Stored:
-        asked = text_keys.join(keys, "key", "left_semi")
-        return stored(shingle_sets(keyed, text_key, text_col, asked).join(keys, "key", "left_semi"))
+    def sets_of(keys: DataFrame, sketches: bool = False) -> Stored:
+        return stored(shingle_sets(df, text_col, nodes.join(keys, "key", "left_semi").select(F.col("t").alias("k")), sketches))
 
     def compared(pairs: DataFrame) -> DataFrame:
-        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
-        found = durable(verified(pairs, sets.df))
-        sets.remove()
-        return found
+        for check, kind in ((sketched, True), (verified, False)):
+            sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), kind)
+            pairs = durable(check(pairs, sets.df))
+            sets.remove()
+        return pairs
 
     named = lambda c: nodes.groupBy("fp").agg(F.min(F.struct("key", "n")).alias("s")).select(F.col("fp").alias(f"f{c}"), F.col("s.key").alias(c), F.col("s.n").alias(f"n{c}"))
     linked = links(nodes.filter("n > 0").select("fp").distinct()).toDF("fa", "fb")

@@ -142,3 +142,14 @@ def test_columns_of_any_name(spark):
     rows = [(i, t, *[f"{c}{i}" for c in clash]) for i, t in enumerate(["one two three four five six", "one two three four five six", "other words stand here", None, ""])]
     df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in clash))
     assert sorted(simhash.one_of_each(df).collect()) == sorted(r for r in df.collect() if r["doc_id"] in (0, 2, 3))
+
+
+def test_sketches_rule_out_no_pair():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 3, 30, 65, 900):
+        for share in (0.0, 0.5, 0.8, 1.0):
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[: int(share * len(a))], rng.integers(0, 1 << 63, n // 5, dtype=np.uint64)]))
+            most = simhash.most_shared(len(a), simhash.sketch(a), len(b), simhash.sketch(b))
+            assert len(np.intersect1d(a, b)) <= most <= min(len(a), len(b))
+            assert share or n < 65 or most < 0.6 * n
