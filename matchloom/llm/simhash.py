@@ -22,7 +22,8 @@ rounds (public connected-components method), whose state is written to the check
 Jaccard similarity of 0.8 or more. Such texts differ in about ten bits, often in more, and no
 band split of 64 bits finds that radius without comparing nearly all pairs. So fingerprint links only
 propose pairs there, and a prefix join proposes the rest: two sets that similar share a shingle among the first
-``n - ceil(0.8 n) + 1`` of each in any common order. Every proposed pair is verified by its exact similarity.
+``n - ceil(0.8 n) + 1`` of each in any common order. A pivot table of the sets discards proposed pairs by coordinate
+difference, a finer sketch more of them, and every survivor is verified by its exact similarity.
 """
 
 from collections import Counter
@@ -48,8 +49,8 @@ SIMILAR_WORDS, SIMILAR = 5, (4, 5)
 COUNTED, SLOT_BITS = 8, 22
 #: Sets that share a prefix shingle and are compared in pairs; beyond, they meet in blocks of about two times so many shingles.
 FEW, BLOCK_SHINGLES = 64, 500_000
-#: Places of a sketch for each shingle, at least.
-SKETCH = 4
+#: References of the pivot table of sets; places of a sketch for each shingle, at least.
+TABLE, SKETCH = 128, 4
 
 
 def shingle_hashes(text: bytes, n: int = WORDS) -> list[int]:
@@ -308,7 +309,7 @@ def _set_key(own: np.ndarray) -> int:
 
 
 def keyed_sets(df: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
-    """(id, fp, key, n, t, the columns of ``keep`` as k0, k1 ...): fingerprint, key and size of the set of shingles, and a hash of the text."""
+    """(id, fp, key, n, pivots, t, the columns of ``keep`` as k0, k1 ...): fingerprint, key, size and row of the pivot table of the set of shingles, and a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,10 +320,10 @@ def keyed_sets(df: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...])
                 own = [np.unique(x) for x in hashed]
                 rest = [c.slice(done, len(ids)) for c in batch.columns[2:]]
                 done += len(ids)
-                yield pa.record_batch([ids, pa.array(fp.view(np.int64)), pa.array([_set_key(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), *rest], ["id", "fp", "key", "n", "t", *(f"k{i}" for i in range(len(keep)))])
+                yield pa.record_batch([ids, pa.array(fp.view(np.int64)), pa.array([_set_key(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), pa.array([pivot_counts(x) for x in own], pa.binary()), *rest], ["id", "fp", "key", "n", "pivots", "t", *(f"k{i}" for i in range(len(keep)))])
 
     own = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"), F.xxhash64(text_col).alias("t"), *(F.col(k).alias(f"k{i}") for i, k in enumerate(keep)))
-    return map_batches(own, run, with_fields("id long, fp long, key long, n long", own.schema.fields[2:]))
+    return map_batches(own, run, with_fields("id long, fp long, key long, n long, pivots binary", own.schema.fields[2:]))
 
 
 def prefixes(df: DataFrame, common: Common, text_col: str) -> DataFrame:
@@ -373,6 +374,25 @@ def shingle_sets(df: DataFrame, text_col: str, asked: DataFrame, sketched: bool
     return map_batches(id_text(texts, "k", "text"), run, "key long, n long, sketch binary" if sketched else "key long, shingles array<long>")
 
 
+def pivot_counts(own: np.ndarray) -> bytes:
+    """A row of the pivot table: how many shingles a set shares with each of ``TABLE`` reference classes, which part all shingles (255 at most)."""
+    return np.minimum(np.bincount((own >> np.uint64(20) & np.uint64(TABLE - 1)).astype(np.int64), minlength=TABLE), 255).astype(np.uint8).tobytes()
+
+
+def close_in_table(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose rows of the pivot table differ by no more than similar sets can: every unit of difference is a shingle that only one of them has."""
+    side = lambda c: nodes.select(F.col("key").alias(c), F.col("n").alias(f"n{c}"), F.col("pivots").alias(f"s{c}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, TABLE).astype(np.int16) for c in (3, 5))
+            may = sum(SIMILAR) * np.abs(a - b).sum(axis=1) <= (SIMILAR[1] - SIMILAR[0]) * (na + nb)
+            yield batch.select([0, 1]).filter(pa.array(may))
+
+    return map_batches(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "sa", "nb", "sb"), run, "a long, b long")
+
+
 def sketch(own: np.ndarray) -> bytes:
     """Which of at least ``SKETCH`` times as many places, a power of two, the shingles of a set take."""
     size = 1 << max(6, (SKETCH * len(own) - 1).bit_length())
@@ -476,7 +496,7 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     own = tuple(f"k{i}" for i in range(len(keep)))
     rows = durable(keyed_sets(df, id_col, text_col, keep))
-    nodes = durable(rows.groupBy("key").agg(F.min(F.struct("n", "fp", "t")).alias("s")).select("key", "s.n", "s.fp", "s.t"))
+    nodes = durable(rows.groupBy("key").agg(F.min(F.struct("n", "fp", "t", "pivots")).alias("s")).select("key", "s.n", "s.fp", "s.t", "s.pivots"))
     entries = prefixes(df, common_shingles(df, text_col), text_col).repartition("shingle")
     least = entries.groupBy("shingle").agg(F.min(F.struct("key", "n")).alias("low"), F.max("key").alias("high")).filter("low.key < high")
     signs = stored(entries.join(least, "shingle").select("shingle", "key", "n", F.col("low.key").alias("low"), F.col("low.n").alias("low_n")).distinct())
@@ -494,6 +514,7 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return stored(shingle_sets(df, text_col, nodes.join(keys, "key", "left_semi").select(F.col("t").alias("k")), sketches))
 
     def compared(pairs: DataFrame) -> DataFrame:
+        pairs = durable(close_in_table(pairs, nodes))
         for check, kind in ((sketched, True), (verified, False)):
             sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), kind)
             pairs = durable(check(pairs, sets.df))

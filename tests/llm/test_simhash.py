@@ -153,3 +153,5 @@ def test_sketches_rule_out_no_pair():
             most = simhash.most_shared(len(a), simhash.sketch(a), len(b), simhash.sketch(b))
             assert len(np.intersect1d(a, b)) <= most <= min(len(a), len(b))
             assert share or n < 65 or most < 0.6 * n
+            x, y = (np.frombuffer(simhash.pivot_counts(v), np.uint8).astype(int) for v in (a, b))
+            assert np.abs(x - y).sum() <= len(np.setxor1d(a, b))
