@@ -17,7 +17,7 @@ from matchloom.sources import tsv
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 FLAGSHIP = "macro_f05"
-K_NAME, K_ADDRESS, K_FIRST, THRESHOLD, CAP = 20, 10, 10, 0.5, 50
+K_NAME, K_ADDRESS, K_FIRST, K_V3, K_VA, THRESHOLD, CAP = blocking.BEST_NAME, blocking.BEST_ADDRESS, blocking.BEST_FIRST, blocking.BEST_V3, blocking.BEST_VA, 0.5, 5000
 
 
 def query(sql: str | None = None):
@@ -44,20 +44,11 @@ def with_fixture(final: str, *ctes: str) -> str:
 
 # ---------------------------------------------------------------- cleaning
 
-ASCII = r"^[\x00-\x7F]*\z"
-_CLEAN = "regexp_replace(trim(regexp_replace(lower(regexp_replace({0}, '[\\x00-\\x1F\\x7F]', ' ', 'g')), ' +', ' ', 'g')), ' +,', ',', 'g')"
-_ASCII_SQL = r"regexp_full_match({0}, '[\x00-\x7F]*')"
+#: Cleaning as SQL: exact for texts of Latin letters whose accents decompose, as those of the tables are.
+_CLEAN = "regexp_replace(trim(regexp_replace(replace(replace(replace(strip_accents(lower(regexp_replace({0}, '[\\x00-\\x1F\\x7F]', ' ', 'g'))), 'ß', 'ss'), 'œ', 'oe'), 'æ', 'ae'), ' +', ' ', 'g')), ' +,', ',', 'g')"
 
 
-@query(f"""SELECT doc_id, {_CLEAN.format("text")} AS cleaned FROM documents WHERE {_ASCII_SQL.format("text")}""")
-def clean_whitespace(spark, sf_dir):
-    """Text cleaning of whole ASCII texts."""
-    ship(spark)
-    d = fx.table(spark, sf_dir, "documents").filter(F.col("text").rlike(ASCII))
-    return d.select("doc_id", text.clean(F.col("text")).alias("cleaned"))
-
-
-@query()
+@query(f"""SELECT doc_id, {_CLEAN.format("text")} AS cleaned FROM documents""")
 def clean_unicode(spark, sf_dir):
     """Text cleaning of all texts, Arrow function and all."""
     ship(spark)
@@ -69,7 +60,7 @@ def clean_unicode(spark, sf_dir):
         """SELECT gid, CASE WHEN len(kept) = 0 THEN '' ELSE array_to_string(list_filter(cl, lambda p: p <> ''), ', ') END AS addr_clean,
         len(kept) = 0 OR len(list_filter(cl, lambda p: p <> '')) = 0 AS addr_missing, len(parts) - len(kept) AS addr_null_parts_removed,
         CASE WHEN len(kept) = 0 THEN 0 ELSE len(cl) - len(list_filter(cl, lambda p: p <> '')) END AS addr_parts_emptied FROM m3""",
-        """m1 AS (SELECT gid, list_transform(string_split(business_address || CASE gid % 4 WHEN 0 THEN ', NULL' WHEN 1 THEN ', n/a ,, x' WHEN 2 THEN ', ' || chr(26) ELSE '' END, ','), lambda p: trim(p)) AS parts FROM raw WHERE regexp_full_match(business_address, '[\\x00-\\x7F]*')),
+        """m1 AS (SELECT gid, list_transform(string_split(business_address || CASE gid % 4 WHEN 0 THEN ', NULL' WHEN 1 THEN ', n/a ,, x' WHEN 2 THEN ', ' || chr(26) ELSE '' END, ','), lambda p: trim(p)) AS parts FROM raw),
 m2 AS (SELECT *, list_filter(parts, lambda p: p <> '' AND lower(p) NOT IN ('null', '<null>', 'none', 'n/a', 'na')) AS kept FROM m1),
 m3 AS (SELECT *, list_transform(string_split("""
         + _CLEAN.format("array_to_string(kept, ', ')")
@@ -81,7 +72,7 @@ def missing_parts(spark, sf_dir):
     ship(spark)
     g = F.col("gid") % 4
     extra = F.when(g == 0, ", NULL").when(g == 1, ", n/a ,, x").when(g == 2, ", \x1a").otherwise("")
-    r = fx.raw(spark, sf_dir).filter(F.col("business_address").rlike(ASCII)).select("gid", F.concat("business_address", extra).alias("business_address"))
+    r = fx.raw(spark, sf_dir).select("gid", F.concat("business_address", extra).alias("business_address"))
     return text.clean_addresses(r).drop("business_address")
 
 
@@ -232,7 +223,7 @@ _LISTS = ",\n".join(
         _PREP, _RARE, _scored_cte("by_name", ("tok",), K_NAME), _scored_cte("by_addr", ("house", "zip"), K_ADDRESS),
         "first0 AS (SELECT s1_gid, s23_gid, coalesce(n.score, 0) AS name_score, coalesce(a.score, 0) AS addr_score, round(coalesce(n.score, 0) + coalesce(a.score, 0), 6) AS blocking_score FROM by_name n FULL JOIN by_addr a USING (s1_gid, s23_gid))",
         "first1 AS (SELECT *, row_number() OVER (PARTITION BY s1_gid ORDER BY blocking_score DESC, s23_gid) AS blocking_rank FROM first0)",
-        _scored_cte("v3", keys.NAME_KINDS, K_NAME), _scored_cte("va", keys.ADDRESS_KINDS, K_ADDRESS),
+        _scored_cte("v3", keys.NAME_KINDS, K_V3), _scored_cte("va", keys.ADDRESS_KINDS, K_VA),
         f"""united AS (SELECT s1_gid, s23_gid, coalesce(f.blocking_score, 0) AS v1_score, coalesce(f.blocking_rank, 999) AS v1_rank, coalesce(v3.score, 0) AS v3_score, coalesce(v3.rank, 999) AS v3_rank, coalesce(va.score, 0) AS va_score, coalesce(va.rank, 999) AS va_rank
   FROM (SELECT * FROM first1 WHERE blocking_rank <= {K_FIRST}) f FULL JOIN v3 USING (s1_gid, s23_gid) FULL JOIN va USING (s1_gid, s23_gid))""",
     ]
@@ -268,8 +259,8 @@ def _first(spark, sf_dir) -> DataFrame:
 
 def _united(spark, sf_dir) -> DataFrame:
     r1, r23 = _both(spark, sf_dir, fx.records)
-    v3 = blocking.ranked_list(r1, r23, keys.NAME_KINDS, K_NAME, "v3")
-    return blocking.union_lists(_first(spark, sf_dir), v3, blocking.ranked_list(r1, r23, keys.ADDRESS_KINDS, K_ADDRESS, "va"), K_FIRST, K_NAME, K_ADDRESS)
+    v3 = blocking.ranked_list(r1, r23, keys.NAME_KINDS, K_V3, "v3")
+    return blocking.union_lists(_first(spark, sf_dir), v3, blocking.ranked_list(r1, r23, keys.ADDRESS_KINDS, K_VA, "va"), K_FIRST, K_V3, K_VA)
 
 
 @query(with_fixture("SELECT s1_gid, s23_gid, name_score::DOUBLE AS name_score, addr_score::DOUBLE AS addr_score, blocking_score::DOUBLE AS blocking_score, blocking_rank FROM first1", _LISTS))
@@ -434,12 +425,11 @@ def number_noise_sets(spark, sf_dir):
     return features.number_sets(pairs, a, b).select("s1_gid", "s23_gid", *features.NUMBERS[3:]).withColumn("x_num_jacc", F.round("x_num_jacc", 6))
 
 
-@query(with_fixture(rf"SELECT s1_gid, s23_gid, levenshtein(a.ns, b.ns) AS lev, round(jaro_winkler_similarity(a.ns, b.ns), 6) AS jw {_PAIR_FROM} WHERE regexp_full_match(a.ns, '[\x01-\x7F]+') AND regexp_full_match(b.ns, '[\x01-\x7F]+')", _LISTS))
+@query()
 def edit_distances(spark, sf_dir):
-    """Levenshtein and Jaro-Winkler of names without spaces."""
+    """Levenshtein and Jaro-Winkler of names without spaces, in code points (DuckDB measures bytes, so without SQL)."""
     ship(spark)
     d = features.sides(_united(spark, sf_dir).select("s1_gid", "s23_gid"), *_both(spark, sf_dir, fx.records), ["ns"])
-    d = d.filter(F.col("ns_1").rlike(r"^[\x01-\x7F]+\z") & F.col("ns_2").rlike(r"^[\x01-\x7F]+\z"))  # the SQL engine measures bytes
     d = d.withColumn("k", scores([("jw", "jaro_winkler", F.col("ns_1"), F.col("ns_2"))]))
     return d.select("s1_gid", "s23_gid", F.levenshtein("ns_1", "ns_2").alias("lev"), F.round("k.jw", 6).alias("jw"))
 
@@ -598,10 +588,14 @@ def profile_by_lang(spark, sf_dir):
     return profile.profile(fx.table(spark, sf_dir, "documents").withColumnRenamed("lang", "country"), "text")
 
 
-@query("SELECT lang AS country, 'latin_accented' AS kind, sum(len(regexp_extract_all(text, '[À-ɏ]'))) ::BIGINT AS n FROM documents GROUP BY 1")
+_KINDS = {"control": r"[\x00-\x08\x0E-\x1F\x7F]", "c1_control": r"[\x{80}-\x{9F}]", "format": r"\p{Cf}", "latin_accented": "[À-ɏ]", "indic": "[ऀ-ൿ]", "digit": r"\p{Nd}", "ascii_digit": "[0-9]"}
+_COUNTED = ", ".join(f"coalesce(sum(len(regexp_extract_all(text, '{p}'))), 0)::BIGINT AS {k}" for k, p in _KINDS.items())
+
+
+@query(f"SELECT country, kind, n FROM (SELECT * EXCLUDE (digit, ascii_digit), digit - ascii_digit AS other_digit FROM (SELECT lang AS country, {_COUNTED} FROM documents GROUP BY 1)) UNPIVOT (n FOR kind IN (control, c1_control, format, latin_accented, indic, other_digit))")
 def character_census(spark, sf_dir):
     """Characters that cleaning treats specially."""
-    return profile.characters(fx.table(spark, sf_dir, "documents").withColumnRenamed("lang", "country"), "text").filter("kind = 'latin_accented'")
+    return profile.characters(fx.table(spark, sf_dir, "documents").withColumnRenamed("lang", "country"), "text")
 
 
 @query()
@@ -736,7 +730,7 @@ def gbt_score(spark, sf_dir):
     """Boosted trees trained on sub-sampled pairs, scoring all pairs."""
     inputs = ["blocking_score", "blocking_rank", "name_jaccard", "name_overlap_n", "addr_token_jaccard", "house_number_match", "zip_match", "legal_form_match", "legal_form_both_present"]
     d = model.labelled(_simple(spark, sf_dir), fx.truth(spark, sf_dir))
-    fitted = model.train(model.subsample(d), inputs, rounds=10, depth=3)
+    fitted = model.train(model.subsample(d), inputs)
     return model.predict(fitted, d).select("s1_gid", "s23_gid", F.round("prob", 6).alias("prob"))
 
 
