@@ -64,9 +64,10 @@ def shared_ids(a: DataFrame, b: DataFrame, col: str = "entity_id") -> DataFrame:
 def content_hash(df: DataFrame, cols: list[str]) -> DataFrame:
     """One row (n, content_hash) that depends on the rows but not on their order or partitioning.
 
-    The sum of 64-bit row hashes as a decimal: one partial aggregation, no sort, no collected list.
+    The sum of 64-bit row hashes as a decimal: one partial aggregation, no sort, no collected list. A null counts where it stands.
     """
-    return df.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64(*cols).cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)")).cast("string").alias("content_hash"))
+    marked = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]  # the hash function itself skips nulls
+    return df.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64(*marked).cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)")).cast("string").alias("content_hash"))
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> bool:

@@ -1,8 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from matchloom.operators import blocking, keys
 from matchloom.plans import fixture
-from matchloom.plans.job import Job
+from matchloom.plans.job import Job, StaleStageError
 from matchloom.streaming import incremental
 
 
@@ -22,6 +23,15 @@ def test_end_to_end(spark, small, tmp_path):
     assert len(found & right) / len(found) > 0.9 and len(found & right) / len(right) > 0.9
 
 
+def test_a_stage_of_other_inputs_stops_the_run(spark, tmp_path):
+    a, b = spark.range(3), spark.range(50)
+    made = lambda d, *more: Job(spark, str(tmp_path)).stage("x", lambda: d, d, *more).count()
+    assert made(a, 5) == 3 and made(a.repartition(3), 5) == 3
+    for again in ((b, 5), (a, 6)):
+        with pytest.raises(StaleStageError):
+            made(*again)
+
+
 def test_streamed_rows_find_the_same_candidates(spark, small, tmp_path):
     rows = fixture.cleaned(spark, small).select("gid", "src", "country", "name_tokens", "addr_components", "addr_house_number", "addr_zip")
     a, b = fixture.first_side(rows), fixture.second_side(rows)

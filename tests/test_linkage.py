@@ -314,5 +314,7 @@ def test_gates_and_hashes(spark):
         g.require()
     df = spark.range(100).withColumn("x", F.col("id") % 7)
     assert profile.content_hash(df, ["id", "x"]).first() == profile.content_hash(df.repartition(5).orderBy(F.desc("id")), ["id", "x"]).first()
+    nulls = [spark.createDataFrame([r], "a string, b string") for r in (("a", None), (None, "a"))]
+    assert profile.content_hash(nulls[0], ["a", "b"]).first() != profile.content_hash(nulls[1], ["a", "b"]).first()
     assert profile.content_hash(df, ["id"]).first() != profile.content_hash(df.filter("id > 0"), ["id"]).first()
     assert profile.same_rows(df, df.repartition(3)) and not profile.same_rows(df, df.unionByName(df.limit(1)))

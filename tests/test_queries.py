@@ -43,6 +43,27 @@ def test_query_without_sql(spark, small, name):
     assert registry.QUERIES[name](spark, small).count() > 0
 
 
+def test_edit_distances_against_brute_force(spark, small):
+    """Of all candidates, in code points."""
+    from matchloom.functions import similarity
+    from matchloom.plans import fixture
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rows = registry.QUERIES["edit_distances"](spark, small).collect()
+    ns = {r["gid"]: r["ns"] for r in fixture.records(spark, small).select("gid", "ns").collect()}
+    assert any(not ns[r["s1_gid"]].isascii() for r in rows)
+    for r in rows:
+        a, b = ns[r["s1_gid"]], ns[r["s23_gid"]]
+        assert r["lev"] == distance(a, b) and abs(r["jw"] - similarity.jaro_winkler(a, b)) < 1e-6
+
+
 def test_entry(spark, small):
     assert __spark_entry__.entry(spark).count() == 1
     assert set(registry.QUERIES) <= set(__spark_entry__.queries()) and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
