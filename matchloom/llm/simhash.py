@@ -491,8 +491,8 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     1. Pairs proposed by fingerprints, and by the least set of every shared prefix shingle with each other set of it, join most near copies.
     2. Of prefix shingles that at most ``FEW`` sets share, the pairs that step 1 leaves in different groups.
-    3. Sets that share a more frequent prefix shingle, and which step 1 leaves in different groups, meet in blocks of bounded size;
-       a block returns spanning links.
+    3. The sets of a more frequent prefix shingle that step 1 leaves in several groups meet in blocks of bounded size; a block
+       returns spanning links. Of shingles that the same sets share one is enough.
     """
     own = tuple(f"k{i}" for i in range(len(keep)))
     rows = durable(keyed_sets(df, id_col, text_col, keep))
@@ -541,15 +541,15 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     more = durable(met(apart).join(tried, ["a", "b"], "left_anti"))
     edges = edges.unionByName(compared(more))
 
-    many = open_.df.filter(F.col("c") > FEW)
-    cells = components(many.filter("low < key").select(F.col("low").alias("a"), F.col("key").alias("b"))).toDF("key", "cell")
-    members = durable(many.groupBy("key").agg(F.min("root").alias("root"), F.min("n").alias("n")).join(cells, "key"))
+    many = open_.df.filter(F.col("c") > FEW).select("shingle", "key", "root", "n")
+    alike = many.groupBy("shingle").agg(F.count("*").alias("m"), F.sum(F.xxhash64("key").cast("decimal(20,0)")).alias("h"), F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("parts"))
+    once = alike.groupBy("m", "h").agg(F.min(F.struct("shingle", "parts")).alias("s")).select("s.shingle", "s.parts")  # shingles that the same sets share
+    members = durable(many.join(once, "shingle").withColumnRenamed("shingle", "cell"))
     open_.remove()
-    parts = members.groupBy("cell").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("parts"))
-    at = members.join(parts, "cell").withColumn("p", F.pmod(F.xxhash64("key"), F.col("parts")))
+    at = members.withColumn("p", F.pmod(F.xxhash64("key"), F.col("parts")))
     others = F.when(F.col("parts") == 1, F.array(F.lit(0).cast("long"))).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda q: q != F.col("p")))
     meets = at.select("key", "root", "cell", "p", F.explode(others).alias("q")).select("key", "root", F.xxhash64("cell", F.least("p", "q"), F.greatest("p", "q")).alias("cell"))
-    sets = sets_of(members.select("key"))
+    sets = sets_of(members.select("key").distinct())
     held = meets.join(sets.df, "key").select("cell", "key", "root", "shingles").repartition("cell").sortWithinPartitions("cell", "key")
     edges = edges.unionByName(durable(map_batches(held, _blocks, "a long, b long")))
     sets.remove()
