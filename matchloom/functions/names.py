@@ -5,30 +5,25 @@ removal that the definition repeats until nothing changes needs two rounds at mo
 words can only uncover a leading honorific or article.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions.expr import collapse, words
-from matchloom.functions.tables import DOTTED, HONORIFICS, LEGAL_FORMS, LEGAL_PHRASES
+from matchloom.functions.tables import HONORIFICS, ID_TAG, INITIALS, LEGAL_FORMS, LEGAL_PHRASES, LONG_NUMBER, SHORTENED
 
 LEADING = r"(?iU)^(?:(?:" + "|".join(HONORIFICS) + r")\b\.?\s*|the\b\s*)+"
 
 
-def collapse_abbreviations(c: Column) -> Column:
-    """l.l.c. -> llc and the like."""
-    for pattern, short in DOTTED:
-        c = F.regexp_replace(c, f"(?iU){pattern}", short)
-    return c
-
-
-def strip_appendages(c: Column) -> Column:
-    """Id tags and runs of seven digits or more become spaces."""
-    return F.regexp_replace(F.regexp_replace(c, r"(?iU)\(\s*id\s*:\s*\d+\s*\)", " "), r"(?U)\b\d{7,}\b", " ")
-
-
-def strip_punctuation(c: Column) -> Column:
-    """Punctuation and symbols become spaces; combining marks stay."""
-    return F.regexp_replace(c, r"[\p{P}\p{S}]", " ")
+#: (pattern, replacement), in the order in which they apply. Combining marks are no punctuation and stay.
+REWRITES = [
+    *((rf"(?iU)\b{r'\.?'.join(x)}\.?(?![a-z])", x) for x in INITIALS),
+    *((rf"(?iU)\b{x}\.(?![a-z])", x) for x in SHORTENED),
+    (ID_TAG, " "),
+    (LONG_NUMBER, " "),
+    (r"[\p{P}\p{S}]", " "),
+]
 
 
 def strip_leading(c: Column) -> Column:
@@ -41,8 +36,8 @@ def with_clean_names(df: DataFrame, raw: str, country: str = "country") -> DataF
 
     Intermediate results are columns of their own, so that none is computed for each of its uses.
     """
-    tidy = collapse(strip_punctuation(strip_appendages(collapse_abbreviations(F.col(raw)))))
-    df = df.withColumn("_tokens", words(strip_leading(tidy)))
+    tidy = reduce(lambda c, rule: F.regexp_replace(c, *rule), REWRITES, F.col(raw))
+    df = df.withColumn("_tokens", words(strip_leading(collapse(tidy))))
     df = df.withColumn("_text", F.concat(F.lit(" "), F.array_join("_tokens", " "), F.lit(" ")))
     rest, phrase = F.col("_text"), F.lit(None).cast("string")
     for name, (phrases, _) in LEGAL_PHRASES.items():  # also pairs that the removal of a pair makes

@@ -102,12 +102,6 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return second_side(r).join(low, ["text_key", "country"]).select("s1_gid", F.col("gid").alias("s23_gid"))
 
 
-def _collapsed(expr: str) -> str:
-    for c in "abcdefghijklmnopqrstuvwxyz0123456789":
-        expr = f"regexp_replace({expr}, '{c}{c}+', '{c}', 'g')"
-    return expr
-
-
 _SKELETON = "replace(replace(replace(replace(replace(replace(ns, 'rn', 'm'), 'vv', 'w'), 'ph', 'f'), '0', 'o'), '1', 'l'), '5', 's')"
 _TOKEN_SQL, _WORD_SQL = TOKEN[1:-1], WORD[1:-1]
 
@@ -132,10 +126,12 @@ rec0 AS (
          CASE WHEN length(business_name) % 4 = 0 THEN '' ELSE 'r' || (length(business_name) % 4) END AS region,
          addr_house_number AS hn, array_to_string(list_sort(string_split(addr_house_number, '')), '') AS hn_digits, addr_zip AS zip
   FROM cleaned),
+bones AS (
+  SELECT *, substr({_SKELETON}, 1, 1) || regexp_replace(substr({_SKELETON}, 2), '[aeiouy]', '', 'g') AS bone FROM rec0),
 rec AS (
-  SELECT *, {_collapsed(f"(substr({_SKELETON}, 1, 1) || regexp_replace(substr({_SKELETON}, 2), '[aeiouy]', '', 'g'))")} AS skel,
+  SELECT * EXCLUDE (bone), array_to_string(list_filter(string_split(bone, ''), lambda c, i: c <> substr(bone, i::INT - 1, 1) OR i = 1 OR NOT regexp_matches(c, '[a-z0-9]')), '') AS skel,
          (count(*) FILTER (src = 1) OVER (PARTITION BY country, core))::DOUBLE / nullif(count(*) FILTER (src = 1) OVER (PARTITION BY country), 0) AS s1_share,
          (count(*) FILTER (src <> 1) OVER (PARTITION BY country, core))::DOUBLE / nullif(count(*) FILTER (src <> 1) OVER (PARTITION BY country), 0) AS s23_share
-  FROM rec0),
+  FROM bones),
 truth AS (
   SELECT l.s1_gid, r.gid AS s23_gid FROM raw r JOIN (SELECT text, country, min(gid) AS s1_gid FROM raw WHERE src = 1 GROUP BY ALL) l ON l.text = r.text AND l.country = r.country WHERE r.src <> 1)"""
