@@ -34,7 +34,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions.durable import Stored, stored
@@ -49,6 +49,8 @@ SIMILAR_WORDS, SIMILAR = 5, (4, 5)
 COUNTED, SLOT_BITS = 8, 22
 #: Sets that share a prefix shingle and are compared in pairs; beyond, they meet in blocks of about two times so many shingles.
 FEW, BLOCK_SHINGLES = 64, 500_000
+#: Rows of the pivot table in half a block of theirs.
+BLOCK_ROWS = 8192
 #: References of the pivot table of sets; places of a sketch for each shingle, at least.
 TABLE, SKETCH = 128, 4
 
@@ -430,6 +432,52 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return d.filter(SIMILAR[1] * F.col("both") >= SIMILAR[0] * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b").distinct()
 
 
+def near_in_table(sizes: np.ndarray, roots: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which sets have another of a different root whose size and row of the pivot table don't rule the pair out.
+
+    Only sets outside the most frequent root look for others, as two sets of one root need no link.
+    """
+    order = np.argsort(sizes, kind="stable")
+    n, r, t = sizes[order], roots[order], table[order].astype(np.int16)
+    own, inverse = np.unique(r, return_inverse=True)
+    near = np.zeros(len(n), bool)
+    low = np.searchsorted(n, -(-SIMILAR[0] * n // SIMILAR[1]), "left")
+    high = np.searchsorted(n, SIMILAR[1] * n // SIMILAR[0], "right")
+    for i in np.flatnonzero(inverse != np.bincount(inverse).argmax()) if len(own) > 1 else ():
+        at = slice(low[i], high[i])
+        apart = np.abs(t[at] - t[i]).sum(axis=1)
+        may = (sum(SIMILAR) * apart <= (SIMILAR[1] - SIMILAR[0]) * (n[at] + n[i])) & (r[at] != r[i])
+        near[at] |= may
+        near[i] |= may.any()
+    out = np.zeros(len(n), bool)
+    out[order] = near
+    return out
+
+
+def _table_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, cell, key, root, n, pivots), sorted by block -> (cell, key) of the sets that ``near_in_table`` keeps. Only the open block is held."""
+    block, held = None, []
+
+    def close():
+        if held:
+            cells, keys, roots, sizes, rows = (np.concatenate(x) for x in zip(*held, strict=True))
+            if (near := near_in_table(sizes, roots, rows)).any():
+                yield pa.record_batch([cells[near], keys[near]], ["cell", "key"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        blocks, *rest = (batch.column(i).to_numpy() for i in range(5))
+        rest.append(np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, TABLE))
+        cuts = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1), len(blocks)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if blocks[a] != block:
+                yield from close()
+                block, held = blocks[a], []
+            held.append([x[a:b] for x in rest])
+    yield from close()
+
+
 def block_links(keys: list[int], roots: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Spanning links between the sets of a block that are similar enough and whose roots differ.
 
@@ -491,8 +539,9 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     1. Pairs proposed by fingerprints, and by the least set of every shared prefix shingle with each other set of it, join most near copies.
     2. Of prefix shingles that at most ``FEW`` sets share, the pairs that step 1 leaves in different groups.
-    3. The sets of a more frequent prefix shingle that step 1 leaves in several groups meet in blocks of bounded size; a block
-       returns spanning links. Of shingles that the same sets share one is enough.
+    3. The sets of a more frequent prefix shingle that step 1 leaves in several groups meet in blocks of bounded size: first only
+       their rows of the pivot table, which leave the sets that may have a partner in another group; then the whole sets of
+       these. A block returns spanning links. Of shingles that the same sets share one is enough.
     """
     own = tuple(f"k{i}" for i in range(len(keep)))
     rows = durable(keyed_sets(df, id_col, text_col, keep))
@@ -541,16 +590,24 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     more = durable(met(apart).join(tried, ["a", "b"], "left_anti"))
     edges = edges.unionByName(compared(more))
 
-    many = open_.df.filter(F.col("c") > FEW).select("shingle", "key", "root", "n")
-    alike = many.groupBy("shingle").agg(F.count("*").alias("m"), F.sum(F.xxhash64("key").cast("decimal(20,0)")).alias("h"), F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("parts"))
-    once = alike.groupBy("m", "h").agg(F.min(F.struct("shingle", "parts")).alias("s")).select("s.shingle", "s.parts")  # shingles that the same sets share
-    members = durable(many.join(once, "shingle").withColumnRenamed("shingle", "cell"))
+    def cells(d: DataFrame, parts: Column) -> DataFrame:
+        """Rows (cell, key, root, n) of one of the cells that the same sets share, and into how many parts it is cut."""
+        alike = d.groupBy("cell").agg(F.count("*").alias("m"), F.sum(F.xxhash64("key").cast("decimal(20,0)")).alias("h"), F.ceil(parts).alias("parts"))
+        return d.join(alike.groupBy("m", "h").agg(F.min(F.struct("cell", "parts")).alias("s")).select("s.cell", "s.parts"), "cell")
+
+    def meeting(d: DataFrame) -> DataFrame:
+        """Every row once for each block of its cell: of the parts every two are a block."""
+        at = d.withColumn("p", F.pmod(F.xxhash64("key"), F.col("parts")))
+        others = F.when(F.col("parts") == 1, F.array(F.lit(0).cast("long"))).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda q: q != F.col("p")))
+        return at.select("cell", "key", "root", "n", "p", F.explode(others).alias("q")).select("cell", "key", "root", "n", F.xxhash64("cell", F.least("p", "q"), F.greatest("p", "q")).alias("block"))
+
+    members = durable(cells(open_.df.filter(F.col("c") > FEW).select(F.col("shingle").alias("cell"), "key", "root", "n"), F.count("*") / BLOCK_ROWS))
     open_.remove()
-    at = members.withColumn("p", F.pmod(F.xxhash64("key"), F.col("parts")))
-    others = F.when(F.col("parts") == 1, F.array(F.lit(0).cast("long"))).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda q: q != F.col("p")))
-    meets = at.select("key", "root", "cell", "p", F.explode(others).alias("q")).select("key", "root", F.xxhash64("cell", F.least("p", "q"), F.greatest("p", "q")).alias("cell"))
+    rows_met = meeting(members).join(nodes.select("key", "pivots"), "key").select("block", "cell", "key", "root", "n", "pivots").repartition("block").sortWithinPartitions("block")
+    near = map_batches(rows_met, _table_blocks, "cell long, key long").distinct()
+    members = durable(cells(durable(members.drop("parts").join(near, ["cell", "key"])), F.sum("n") / BLOCK_SHINGLES))
     sets = sets_of(members.select("key").distinct())
-    held = meets.join(sets.df, "key").select("cell", "key", "root", "shingles").repartition("cell").sortWithinPartitions("cell", "key")
+    held = meeting(members).join(sets.df, "key").select("block", "key", "root", "shingles").repartition("block").sortWithinPartitions("block", "key")
     edges = edges.unionByName(durable(map_batches(held, _blocks, "a long, b long")))
     sets.remove()
     comps = components(edges).withColumnRenamed("node", "key")

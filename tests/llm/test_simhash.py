@@ -122,6 +122,7 @@ def test_one_of_each_against_jaccard(spark, monkeypatch, few, block):
     """With the settings, with all larger groups in blocks, and with many small blocks."""
     monkeypatch.setattr(simhash, "FEW", few)
     monkeypatch.setattr(simhash, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", block // 40)
     rng = random.Random(11)
     texts, common = {}, " ".join(f"c{i}" for i in range(12))
     for _ in range(12):  # copies with a few words changed, on both sides of the limit and in chains
@@ -155,3 +156,18 @@ def test_sketches_rule_out_no_pair():
             assert share or n < 65 or most < 0.6 * n
             x, y = (np.frombuffer(simhash.pivot_counts(v), np.uint8).astype(int) for v in (a, b))
             assert np.abs(x - y).sum() <= len(np.setxor1d(a, b))
+
+
+def test_sets_that_the_table_keeps_against_all_pairs():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        base = [rng.integers(0, 2**63, rng.integers(1, 90)).astype(np.uint64) for _ in range(5)]
+        sets = [np.unique(np.where(rng.random(len(b)) < 0.07, rng.integers(0, 2**63, len(b)).astype(np.uint64), b)) for b in base for _ in range(6)]
+        sizes, roots = np.array([len(x) for x in sets]), rng.integers(0, 9, len(sets))
+        table = np.array([np.frombuffer(simhash.pivot_counts(x), np.uint8) for x in sets])
+        apart = np.abs(table[:, None].astype(int) - table[None].astype(int)).sum(axis=2)
+        ratio = 5 * np.minimum(sizes[:, None], sizes) >= 4 * np.maximum(sizes[:, None], sizes)
+        may = ratio & (9 * apart <= sizes[:, None] + sizes) & (roots[:, None] != roots)
+        linked = np.array([[5 * (m := len(np.intersect1d(x, y))) >= 4 * (len(x) + len(y) - m) for y in sets] for x in sets]) & (roots[:, None] != roots)
+        kept = simhash.near_in_table(sizes, roots, table)
+        assert (kept == may.any(axis=1)).all() and kept[linked.any(axis=1)].all()
