@@ -9,7 +9,7 @@ from matchloom.functions import addresses, names, script, text
 from matchloom.functions.expr import jaccard, trigrams
 from matchloom.functions.ship import ship
 from matchloom.functions.similarity import scores
-from matchloom.operators import analysis, blocking, decide, features, keys, labels, metric, model, profile
+from matchloom.operators import analysis, blocking, decide, features, keys, labels, metric, model, profile, ranked
 from matchloom.operators import records as recs
 from matchloom.plans import fixture as fx
 from matchloom.sources import tsv
@@ -258,9 +258,7 @@ def _first(spark, sf_dir) -> DataFrame:
 
 
 def _united(spark, sf_dir) -> DataFrame:
-    r1, r23 = _both(spark, sf_dir, fx.records)
-    v3 = blocking.ranked_list(r1, r23, keys.NAME_KINDS, K_V3, "v3")
-    return blocking.union_lists(_first(spark, sf_dir), v3, blocking.ranked_list(r1, r23, keys.ADDRESS_KINDS, K_VA, "va"), K_FIRST, K_V3, K_VA)
+    return ranked.united(_both(spark, sf_dir), _both(spark, sf_dir, fx.records), K_NAME, K_ADDRESS, K_FIRST, K_V3, K_VA)
 
 
 @query(with_fixture("SELECT s1_gid, s23_gid, name_score::DOUBLE AS name_score, addr_score::DOUBLE AS addr_score, blocking_score::DOUBLE AS blocking_score, blocking_rank FROM first1", _LISTS))
