@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchloom.functions import addresses, names, script, text
+from matchloom.functions.durable import stored
 from matchloom.functions.expr import jaccard, trigrams
 from matchloom.functions.ship import ship
 from matchloom.functions.similarity import scores
@@ -727,7 +728,8 @@ def subsample_weights(spark, sf_dir):
 def gbt_score(spark, sf_dir):
     """Boosted trees trained on sub-sampled pairs, scoring all pairs."""
     inputs = ["blocking_score", "blocking_rank", "name_jaccard", "name_overlap_n", "addr_token_jaccard", "house_number_match", "zip_match", "legal_form_match", "legal_form_both_present"]
-    d = model.labelled(_simple(spark, sf_dir), fx.truth(spark, sf_dir))
+    pairs = ranked.first_cut(*_both(spark, sf_dir), K_NAME, K_ADDRESS, K_FIRST)
+    d = stored(model.labelled(features.simple_features(pairs, *_both(spark, sf_dir)), fx.truth(spark, sf_dir))).df  # read by every step of the training
     fitted = model.train(model.subsample(d), inputs)
     return model.predict(fitted, d).select("s1_gid", "s23_gid", F.round("prob", 6).alias("prob"))
 

@@ -50,3 +50,9 @@ def test_no_pair_is_shuffled(spark, small):
     """candidates_union shuffles rows, keys and packed lists, never pairs."""
     plan = registry.QUERIES["candidates_union"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(s1_gid" not in plan and "hashpartitioning(s23_gid" not in plan
+
+
+def test_training_reads_a_stored_table(spark, small):
+    """gbt_score makes its pairs once, from cut lists, and not again for every step of the training."""
+    plan = registry.QUERIES["gbt_score"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" not in plan and "FileScan parquet" in plan
