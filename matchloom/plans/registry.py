@@ -262,6 +262,11 @@ def _united(spark, sf_dir) -> DataFrame:
     return ranked.united(_both(spark, sf_dir), _both(spark, sf_dir, fx.records), K_NAME, K_ADDRESS, K_FIRST, K_V3, K_VA)
 
 
+def _stored_union(spark, sf_dir) -> DataFrame:
+    """The united lists as a table, so that the shuffle files of the lists go before those of the features come."""
+    return stored(_united(spark, sf_dir)).df
+
+
 @query(with_fixture("SELECT s1_gid, s23_gid, name_score::DOUBLE AS name_score, addr_score::DOUBLE AS addr_score, blocking_score::DOUBLE AS blocking_score, blocking_rank FROM first1", _LISTS))
 def candidates_topk(spark, sf_dir):
     """The first ranked list."""
@@ -436,7 +441,7 @@ def edit_distances(spark, sf_dir):
 @query()
 def record_features(spark, sf_dir):
     """All name, address and context features of all candidates."""
-    return features.record_features(_united(spark, sf_dir), *_both(spark, sf_dir, fx.records))
+    return features.record_features(_stored_union(spark, sf_dir), *_both(spark, sf_dir, fx.records))
 
 
 @query()

@@ -56,3 +56,10 @@ def test_training_reads_a_stored_table(spark, small):
     """gbt_score makes its pairs once, from cut lists, and not again for every step of the training."""
     plan = registry.QUERIES["gbt_score"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Generate explode" not in plan and "FileScan parquet" in plan
+
+
+@pytest.mark.parametrize("name", ["record_features"])
+def test_features_read_stored_pairs(spark, small, name):
+    """The candidates are a table when the features are made, and their keys and lists are in no plan of them."""
+    plan = registry.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" not in plan and "WindowGroupLimit" not in plan
