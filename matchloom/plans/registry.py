@@ -424,7 +424,7 @@ CASE WHEN len(m1) = 0 OR len(m2) = 0 THEN -1::DOUBLE ELSE least(abs(substr(m1[1]
 )
 def number_noise_sets(spark, sf_dir):
     """What the numbers of both addresses share."""
-    pairs = _united(spark, sf_dir).select("s1_gid", "s23_gid")
+    pairs = _stored_union(spark, sf_dir).select("s1_gid", "s23_gid")
     a, b = (d.withColumn("addr", F.concat_ws(" ", "hn", "zip", "addr")) for d in _both(spark, sf_dir, fx.records))
     return features.number_sets(pairs, a, b).select("s1_gid", "s23_gid", *features.NUMBERS[3:]).withColumn("x_num_jacc", F.round("x_num_jacc", 6))
 
