@@ -447,7 +447,7 @@ def record_features(spark, sf_dir):
 @query()
 def number_features(spark, sf_dir):
     """All number-noise features of all candidates."""
-    return features.number_features(_united(spark, sf_dir).select("s1_gid", "s23_gid"), *_both(spark, sf_dir, fx.records))
+    return features.number_features(_stored_union(spark, sf_dir).select("s1_gid", "s23_gid"), *_both(spark, sf_dir, fx.records))
 
 
 @query()
