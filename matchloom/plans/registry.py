@@ -453,7 +453,7 @@ def number_features(spark, sf_dir):
 @query()
 def sound_features(spark, sf_dir):
     """Soundex features of all candidates."""
-    d = features.sides(_united(spark, sf_dir).select("s1_gid", "s23_gid"), *_both(spark, sf_dir, fx.records), ["core"])
+    d = features.sides(_stored_union(spark, sf_dir).select("s1_gid", "s23_gid"), *_both(spark, sf_dir, fx.records), ["core"])
     return features.soundex_features(d)
 
 
