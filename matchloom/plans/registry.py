@@ -433,7 +433,7 @@ def number_noise_sets(spark, sf_dir):
 def edit_distances(spark, sf_dir):
     """Levenshtein and Jaro-Winkler of names without spaces, in code points (DuckDB measures bytes, so without SQL)."""
     ship(spark)
-    d = features.sides(_united(spark, sf_dir).select("s1_gid", "s23_gid"), *_both(spark, sf_dir, fx.records), ["ns"])
+    d = features.sides(_stored_union(spark, sf_dir).select("s1_gid", "s23_gid"), *_both(spark, sf_dir, fx.records), ["ns"])
     d = d.withColumn("k", scores([("jw", "jaro_winkler", F.col("ns_1"), F.col("ns_2"))]))
     return d.select("s1_gid", "s23_gid", F.levenshtein("ns_1", "ns_2").alias("lev"), F.round("k.jw", 6).alias("jw"))
 

@@ -58,7 +58,7 @@ def test_training_reads_a_stored_table(spark, small):
     assert "Generate explode" not in plan and "FileScan parquet" in plan
 
 
-@pytest.mark.parametrize("name", ["record_features", "number_noise_sets", "pair_flags", "number_features", "sound_features"])
+@pytest.mark.parametrize("name", ["record_features", "number_noise_sets", "pair_flags", "number_features", "sound_features", "edit_distances"])
 def test_features_read_stored_pairs(spark, small, name):
     """The candidates are a table when the features are made, and their keys and lists are in no plan of them."""
     plan = registry.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
