@@ -63,3 +63,9 @@ def test_features_read_stored_pairs(spark, small, name):
     """The candidates are a table when the features are made, and their keys and lists are in no plan of them."""
     plan = registry.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Generate explode" not in plan and "WindowGroupLimit" not in plan
+
+
+def test_ceiling_needs_no_shuffle_of_pairs_below_the_lists(spark, small):
+    """oracle_ceiling takes its candidates from blocks: no window or sum over pairs of shared keys is left."""
+    plan = registry.QUERIES["oracle_ceiling"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" not in plan and "sum(idf" not in plan
