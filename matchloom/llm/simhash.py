@@ -45,8 +45,8 @@ WORDS, RADIUS, BANDS, PIVOTS, BUCKET, FEW_BITS = 3, 3, 5, 24, 2048, 11
 LANES = np.uint64(0x0101010101010101)
 #: Near copies share SIMILAR[0] / SIMILAR[1] of the shingles of both.
 SIMILAR_WORDS, SIMILAR = 5, (4, 5)
-#: One text of so many is counted, in two tables of counters of shingles, to put common shingles last; any order is exact.
-COUNTED, SLOT_BITS = 8, 22
+#: All texts are counted, in two tables of counters of shingles that travel in pieces, to put common shingles last; any order is exact.
+SLOT_BITS, PIECE = 22, 1 << 16
 #: Sets that share a prefix shingle and are compared in pairs; beyond, they meet in blocks of about two times so many shingles.
 FEW, BLOCK_SHINGLES = 64, 500_000
 #: Rows of the pivot table in half a block of theirs.
@@ -278,21 +278,31 @@ class Common:
 
 
 def common_shingles(df: DataFrame, text_col: str = "text") -> Common:
-    """Which counters stand out in a sample of texts. They only order the shingles: any order is exact."""
+    """Which counters stand out over all texts. They only order the shingles: any order is exact."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, total = [np.zeros(1 << SLOT_BITS, np.int32) for _ in range(2)], 0
+        counts = np.zeros(2 << SLOT_BITS, np.uint32)
         for batch in batches:
             for _, texts in slices(batch):
                 for own in _sets(texts):
-                    total += len(own)
-                    for c, slot in zip(counts, _counters(own), strict=True):
-                        np.add.at(c, slot, 1)
-        found = [np.flatnonzero(c > 1) for c in counts]  # one alone says little, and most are alone
-        yield pa.record_batch([pa.array(np.concatenate([[-1], found[0], found[1] + (1 << SLOT_BITS)])), pa.array(np.concatenate([[total], counts[0][found[0]], counts[1][found[1]]]).astype(np.int64))], ["slot", "n"])
-
-    sample = id_text(df.filter(F.pmod(F.xxhash64(text_col), F.lit(COUNTED)) == 0).select(F.lit(0).alias("id"), text_col), "id", text_col)
-    counts = durable(map_batches(sample, run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).filter("n >= 4 or slot < 0"))
+                    for t, slot in enumerate(_counters(own)):
+                        np.add.at(counts, slot + (t << SLOT_BITS), 1)
+        for at in range(0, len(counts), PIECE):
+            if (piece := counts[at : at + PIECE]).any():
+                yield pa.record_batch([pa.array([at]), pa.array([piece.view(np.uint8).reshape(-1, 4).T.tobytes()], pa.binary())], ["slot", "counts"])  # small counts: planes of zeros
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.ascontiguousarray(np.frombuffer(piece, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+                sums[at] = sums.get(at, 0) + own.astype(np.int64)
+        for at, n in sums.items():
+            often, total = np.flatnonzero(n >= 4), n.sum() if at < 1 << SLOT_BITS else 0
+            yield pa.record_batch([pa.array(np.append(often + at, -1)), pa.array(np.append(n[often], total))], ["slot", "n"])
+
+    texts = id_text(df.select(F.lit(0).alias("id"), text_col), "id", text_col)
+    counts = durable(map_batches(map_batches(texts, run, "slot long, counts binary").repartition("slot"), summed, "slot long, n long"))
     mean = (counts.filter("slot < 0").agg(F.sum("n")).first()[0] or 0) / (1 << SLOT_BITS)
     least = max(4.0, 2 * mean + 4 * mean**0.5)
     got = counts.filter((F.col("slot") >= 0) & (F.col("n") >= least)).toArrow()  # under half the counters, whatever the input
