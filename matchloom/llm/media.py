@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from matchloom.llm.common import id_text, map_batches, slices
 
 COLUMNS, MOST_ROWS, STEP = 192, 8191, 8
+#: Bytes of files that are encoded or decoded at a time (a larger file by itself); the arrays of a step take about 70 times as much.
+AT_A_TIME = 1 << 19
 #: Code lengths by size of the DC difference: differences of bytes of prose, steps to and from spaces first.
 DC_LENGTHS = {7: 2, 2: 3, 3: 3, 4: 3, 0: 4, 1: 4, 5: 4, 6: 4, 8: 5}
 AC_LENGTHS = {0: 1}  # end of block
@@ -81,9 +83,26 @@ BITS, COUNT = _symbols()
 POWERS = 1 << np.arange(16)
 
 
+def steps(sizes: list[int]) -> Iterator[slice]:
+    """Runs of about ``AT_A_TIME`` bytes together, of one file at least."""
+    first, size = 0, 0
+    for i, n in enumerate(sizes):
+        if size and size + n > AT_A_TIME:
+            yield slice(first, i)
+            first, size = i, 0
+        size += n
+    if first < len(sizes):
+        yield slice(first, len(sizes))
+
+
 def encode(payloads: list[bytes]) -> list[bytes]:
     """A stored form for each payload (of a positive multiple of COLUMNS bytes)."""
     files = [p[a : a + MOST_ROWS * COLUMNS] for p in payloads for a in range(0, len(p), MOST_ROWS * COLUMNS)]
+    stored = (f for at in steps([len(f) for f in files]) for f in _encoded(files[at]))
+    return [b"".join(next(stored) for _ in range(0, len(p), MOST_ROWS * COLUMNS)) for p in payloads]
+
+
+def _encoded(files: list[bytes]) -> list[bytes]:
     values = np.frombuffer(b"".join(files), np.uint8).reshape(-1, COLUMNS).astype(np.int16)
     diff = np.diff(values, axis=1, prepend=np.int16(128)) + np.int16(255)
     bits, count = BITS[diff], COUNT[diff]
@@ -118,8 +137,7 @@ def encode(payloads: list[bytes]) -> list[bytes]:
     last = np.cumsum(rows) - 1
     out[close[last] + 1] = 0xD9  # after a file's last row, its end
     cuts = [0, *(close[last] + 2).tolist()]
-    stored = iter([header(n) + out[a:b].tobytes() for n, a, b in zip(rows.tolist(), cuts, cuts[1:], strict=False)])
-    return [b"".join(next(stored) for _ in range(0, len(p), MOST_ROWS * COLUMNS)) for p in payloads]
+    return [header(n) + out[a:b].tobytes() for n, a, b in zip(rows.tolist(), cuts, cuts[1:], strict=False)]
 
 
 @dataclass
@@ -294,7 +312,7 @@ def thumbnails(blobs: list[bytes]) -> list[list[np.ndarray]]:
         for k, f in enumerate(fs):
             alike[tuple(f.scan), tuple(map(tuple, f.components)), tuple(sorted(f.tables.items())), f.interval == 0].append((i, k))
     out = [[np.zeros((0, 0), np.uint8)] * len(fs) for fs in frames]
-    for where in alike.values():
+    for where in (own[at] for own in alike.values() for at in steps([len(frames[i][k].data) for i, k in own])):
         for (i, k), dc in zip(where, _side_by_side([frames[i][k] for i, k in where]), strict=True):
             f = frames[i][k]
             rows, columns = mcus(f)

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import struct
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -124,6 +125,24 @@ def test_a_long_payload_is_several_files():
     assert len(files) == 2 and b"".join(t.tobytes() for t in files) == payload
 
 
+def test_memory_is_that_of_a_step():
+    """Encoding and decoding hold the arrays of a few files, not of all that they are given."""
+    rng = random.Random(3)
+    payloads = [rng.randbytes(192 * 85) for _ in range(250)]  # 4 MB
+    tracemalloc.start()
+    try:
+        stored = media.encode(payloads)
+        encoding = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        held = tracemalloc.get_traced_memory()[0]
+        found = media.thumbnails(stored)
+        decoding = tracemalloc.get_traced_memory()[1] - held
+    finally:
+        tracemalloc.stop()
+    assert [b"".join(t.tobytes() for t in ts) for ts in found] == payloads
+    assert encoding < 70 << 20 and decoding < 50 << 20
+
+
 def test_files_with_detail():
     rng = random.Random(2)
     made = [file_with_detail(rng, w, h, i) for w, h, i in ((64, 40, 0), (61, 33, 3), (200, 16, 7), (8, 8, 0), (64, 40, 5))]
