@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from matchloom.operators import blocking, keys, ranked
+from matchloom.operators import blocking, keys, metric, ranked
 from matchloom.plans import fixture, registry
 
 
@@ -69,3 +69,20 @@ def test_ceiling_needs_no_shuffle_of_pairs_below_the_lists(spark, small):
     """oracle_ceiling takes its candidates from blocks: no window or sum over pairs of shared keys is left."""
     plan = registry.QUERIES["oracle_ceiling"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" not in plan and "sum(idf" not in plan
+
+
+def test_ceiling_lists_rows_with_links_only(spark, small, monkeypatch):
+    """Rows without a true link need no lists; the score over all rows is that of the lists of all rows."""
+    fixture.fresh()
+    rows, truth = fixture.first_side(fixture.raw(spark, small)).selectExpr("gid as s1_gid"), fixture.truth(spark, small)
+    whole = metric.macro(metric.ceiling(registry._united(spark, small), truth, rows)).selectExpr("round(f05, 9)", "n").first()
+    asked, united = [], ranked.united
+
+    def noted(*args):
+        asked.extend({r[0] for r in side.select("gid").collect()} for side, _ in args[:2])
+        return united(*args)
+
+    monkeypatch.setattr(ranked, "united", noted)
+    assert tuple(registry.QUERIES["oracle_ceiling"](spark, small).first()) == tuple(whole)
+    links = {r[0] for r in truth.select("s1_gid").collect()}
+    assert asked == [links, links] and 0 < len(links) < whole[1]
