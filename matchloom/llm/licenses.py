@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from matchloom.llm.common import ALNUM, id_text, map_batches, slices
+from matchloom.llm.common import ALNUM, id_text, kept, map_batches, slices
 
 SHINGLE, CONTAINMENT, ROWS, LEAST_CHANCE, WORD_CACHE = 5, 0.8, 2, 0.9998, 400_000
 
@@ -40,7 +40,7 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
 }
 MIXED = np.uint64(0x9E3779B97F4A7C15)
-_words: dict[bytes, bytes] = {}
+_words: dict[bytes, bytes] = kept(__name__)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from matchloom.llm.common import durable, id_text, map_batches, slices
+from matchloom.llm.common import durable, id_text, kept, map_batches, slices
 
 LIMIT, END_ID, CACHE, LONGEST_CACHED = 4096, 1, 800_000, 64
 #: Punctuation that is cut off a chunk: a run of it after letters is a pre-token.
@@ -28,7 +28,7 @@ TAIL = b".,;:!?|%$#*&)"
 #: Rows that take their ranks in one group.
 GROUP_ROWS = 20_000
 PLAN = "length long, low long, high long, first long, each long, base long"
-_encoders: dict[str, "WordEncoder"] = {}
+_encoders: dict[str, "WordEncoder"] = kept(__name__)
 
 
 class WordEncoder:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import LOWER, map_batches, slices, with_fields
+from matchloom.llm.common import LOWER, kept, map_batches, slices, with_fields
 
 #: Hash buckets for words, rank of the interactions, rows to learn from at most, passes, step, penalty.
 BUCKETS, RANK, SAMPLE, EPOCHS, RATE, PENALTY = 2048, 6, 3000, 30, 0.03, 1e-4
@@ -32,7 +32,7 @@ CLASS_OF = np.zeros(256, np.uint8)
 for _chars, _class in ((range(97, 123), 1), (range(65, 91), 2), (range(48, 58), 3), (b" \t", 4), (b"\n\r", 5), (b".,;:!?'\"-", 6), (b"|", 7), (b"#$%&*+/<=>@[]\\^_`{}~()", 8), (range(128, 256), 9)):
     CLASS_OF[list(_chars)] = _class
 SYMBOL_END = tuple(bytes([c]) for c in b"#$%&*|=+~!")
-_buckets: dict[bytes, int] = {}
+_buckets: dict[bytes, int] = kept(__name__)
 
 
 def structure(text: bytes, words: list[bytes], counts: Counter, n_chars: int | None) -> list[float]:

@@ -17,11 +17,11 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from matchloom.llm.common import id_text, map_batches, slices
+from matchloom.llm.common import id_text, kept, map_batches, slices
 
 CACHE, LONGEST_CACHED, LIMIT = 300_000, 48, 4096
 MARK = "▁"
-_counters: dict[str, "WholeTokens"] = {}
+_counters: dict[str, "WholeTokens"] = kept(__name__)
 
 
 class WholeTokens:
